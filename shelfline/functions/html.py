@@ -8,12 +8,17 @@ All selection happens afterwards, as Column expressions over that list.
 
 from __future__ import annotations
 
+import sys
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# Workers get this module's code with the function, so none of them needs the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without content, elements whose text is not page text,
 # elements that keep their white space, attributes that hold word lists.
 VOID = frozenset(

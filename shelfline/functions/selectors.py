@@ -1,18 +1,26 @@
 """Element selection over the list that :mod:`shelfline.functions.html` builds.
 
-A :class:`Sel` names one element; ``a / b`` means "b somewhere inside a". A tuple of
-selectors is tried in order. Every function returns a Column.
+A :class:`Sel` names one element; ``a / b`` means "b somewhere inside a". Selectors are data:
+they enter a query as one literal array, and one expression matches elements against it, so
+the size of a plan does not grow with the number of selectors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, functions as F
 
 from .text import blank_to_null, strip
 
+_COMPOUND = (
+    "tag:string,classes:array<string>,attr:string,equals:string,contains:string"
+)
+_RULES = f"array<struct<field:string,{_COMPOUND},outer:array<struct<{_COMPOUND}>>>>"
+_MAX_OUTER = 2
+
 
 @dataclass(frozen=True)
 class Sel:
@@ -27,34 +35,20 @@ class Sel:
         outer = self if inner.inside is None else self / inner.inside
         return replace(inner, inside=outer)
 
-    def own(self, n: Column) -> Column:
-        """Does the element itself fit, wherever it stands?"""
-        tests = []
-        if self.tag:
-            tests.append(n["tag"] == self.tag)
-        tests += [F.array_contains(n["classes"], name) for name in self.classes]
-        if self.attr:
-            value = n["attrs"][self.attr]
-            if self.equals is not None:
-                tests.append(F.coalesce(value == self.equals, F.lit(False)))
-            elif self.contains is not None:
-                tests.append(F.coalesce(F.contains(value, F.lit(self.contains)), F.lit(False)))
-            else:
-                tests.append(value.isNotNull())
-        out = tests[0]
-        for test in tests[1:]:
-            out = out & test
-        return out
-
-    def fits(self, nodes: Column, n: Column) -> Column:
-        hit = self.own(n)
-        if self.inside is None:
-            return hit
-        outer = self.inside
-        return hit & F.exists(
-            nodes,
-            lambda a: (a["pre"] < n["pre"]) & (a["post"] >= n["pre"]) & outer.fits(nodes, a),
-        )
+    def _compound(self) -> dict:
+        return {
+            "tag": self.tag, "classes": list(self.classes), "attr": self.attr,
+            "equals": self.equals, "contains": self.contains,
+        }
+
+    def rule(self, field: str) -> dict:
+        outer, at = [], self.inside
+        while at is not None:
+            outer.append(at._compound())
+            at = at.inside
+        if len(outer) > _MAX_OUTER:
+            raise ValueError("a selector may have at most three steps")
+        return {"field": field, **self._compound(), "outer": outer}
 
 
 def tag(name: str, *classes: str) -> Sel:
@@ -70,61 +64,87 @@ def attr(name: str, equals: str | None = None, contains: str | None = None,
     return Sel(tag=on, attr=name, equals=equals, contains=contains)
 
 
-@dataclass(frozen=True)
-class Scope:
-    """Elements and text to search. ``root`` keeps hits below one element of ``nodes``.
+def _literal(rules: Mapping[str, Iterable[Sel]]) -> str:
+    rows = [sel.rule(field) for field, sels in rules.items() for sel in sels]
+    text = json.dumps(rows, ensure_ascii=False).replace("\\", "\\\\").replace("'", "\\'")
+    return f"from_json('{text}', '{_RULES}')"
 
-    ``shift`` is the position in the page text at which ``text`` starts.
-    """
 
-    nodes: Column
-    text: Column
-    shift: Column | None = None
-    root: Column | None = None
+def _fits_itself(n: str, r: str) -> str:
+    value = f"try_element_at({n}.attrs, {r}.attr)"
+    return (
+        f"(({r}.tag IS NULL OR {n}.tag = {r}.tag)"
+        f" AND forall({r}.classes, k -> array_contains({n}.classes, k))"
+        f" AND ({r}.attr IS NULL OR ({value} IS NOT NULL"
+        f" AND ({r}.equals IS NULL OR {value} = {r}.equals)"
+        f" AND ({r}.contains IS NULL OR contains({value}, {r}.contains)))))"
+    )
 
-    def all(self, sels: Sel | Iterable[Sel]) -> Column:
-        """Elements that fit any of the selectors, in document order."""
-        sels = (sels,) if isinstance(sels, Sel) else tuple(sels)
 
-        def hit(n: Column) -> Column:
-            out = sels[0].fits(self.nodes, n)
-            for sel in sels[1:]:
-                out = out | sel.fits(self.nodes, n)
-            if self.root is not None:
-                out = (n["pre"] > self.root["pre"]) & (n["pre"] <= self.root["post"]) & out
-            return out
+def is_below(n: Column, root: Column) -> Column:
+    return (n["pre"] > root["pre"]) & (n["pre"] <= root["post"])
 
-        return F.filter(self.nodes, hit)
 
-    def first(self, sels: Sel | Iterable[Sel]) -> Column:
-        return F.get(self.all(sels), 0)
+@dataclass(frozen=True)
+class Scope:
+    """Elements and text to search, as names of columns or struct fields.
+
+    ``root`` keeps hits below one element of ``nodes``; ``shift`` is the position in the page
+    text at which ``text`` starts. Matching is written as SQL text: it is one expression with
+    many small parts.
+    """
+
+    nodes: str
+    text: str
+    shift: str | None = None
+    root: str | None = None
+
+    def _fits(self, n: str, r: str) -> str:
+        hit = (
+            f"({_fits_itself(n, r)} AND (size({r}.outer) = 0 OR exists({self.nodes}, a ->"
+            f" a.pre < {n}.pre AND a.post >= {n}.pre AND {_fits_itself('a', f'{r}.outer[0]')}"
+            f" AND (size({r}.outer) = 1 OR exists({self.nodes}, b ->"
+            f" b.pre < a.pre AND b.post >= a.pre AND {_fits_itself('b', f'{r}.outer[1]')})))))"
+        )
+        if self.root is None:
+            return hit
+        return f"({n}.pre > {self.root}.pre AND {n}.pre <= {self.root}.post AND {hit})"
 
-    def first_by_rank(self, sels: Iterable[Sel]) -> Column:
-        """First element of the first selector that fits anything."""
-        return F.coalesce(*[self.first(sel) for sel in sels])
+    def all(self, sels: Iterable[Sel]) -> Column:
+        """Elements that fit any of the selectors, in document order."""
+        rules = _literal({"": sels})
+        return F.expr(f"filter({self.nodes}, n -> exists({rules}, r -> {self._fits('n', 'r')}))")
 
     def all_by_rank(self, sels: Iterable[Sel]) -> Column:
         """Elements of the first selector that fits anything; NULL if none does."""
-        return F.coalesce(*[non_empty(self.all(sel)) for sel in sels])
+        found = f"filter({self.nodes}, n -> {self._fits('n', 'r')})"
+        groups = f"transform({_literal({'': sels})}, r -> {found})"
+        return F.expr(f"get(filter({groups}, g -> size(g) > 0), 0)")
 
-    def first_value(self, sels: Iterable[Sel], read: Callable[[Column], Column]) -> Column:
-        """First non-NULL reading, looking at one element per selector."""
-        return F.coalesce(*[read(self.first(sel)) for sel in sels])
+    def picks(self, rules: Mapping[str, Iterable[Sel]]) -> Column:
+        """``array<struct<field, node>>``: per selector its first element, in selector order."""
+        first = f"get(filter({self.nodes}, n -> {self._fits('n', 'r')}), 0)"
+        pairs = f"transform({_literal(rules)}, r -> named_struct('field', r.field, 'node', {first}))"
+        return F.expr(f"filter({pairs}, p -> p.node IS NOT NULL)")
 
     def text_of(self, n: Column) -> Column:
-        at = n["start"] if self.shift is None else n["start"] - self.shift
-        return strip(F.substr(self.text, at + 1, n["stop"] - n["start"]))
+        at = n["start"] if self.shift is None else n["start"] - F.col(self.shift)
+        return strip(F.substr(F.col(self.text), at + 1, n["stop"] - n["start"]))
 
     def some_text(self, n: Column) -> Column:
         return blank_to_null(self.text_of(n))
 
-    def below(self, n: Column, sels: Sel | Iterable[Sel]) -> Column:
-        """Elements below ``n`` that fit."""
-        return Scope(self.nodes, self.text, self.shift, root=n).all(sels)
+
+def read(picks: Column, field: str, reader: Callable[[Column], Column]) -> Column:
+    """First reading of a field's elements that is not NULL."""
+    mine = F.filter(picks, lambda p: p["field"] == field)
+    readings = F.transform(mine, lambda p: reader(p["node"]))
+    return F.get(F.filter(readings, lambda v: v.isNotNull()), 0)
 
 
-def non_empty(a: Column) -> Column:
-    return F.when(F.size(a) > 0, a)
+def picked(picks: Column, field: str) -> Column:
+    """Does the page have an element for the field?"""
+    return F.exists(picks, lambda p: p["field"] == field)
 
 
 def attribute(n: Column, name: str) -> Column:

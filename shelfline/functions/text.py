@@ -51,73 +51,53 @@ def fold_diacritics(c: Column) -> Column:
 
 
 @cache
-def _entity_json() -> tuple[str, str, str]:
-    named = {k: v for k, v in html.entities.html5.items() if k.endswith(";")}
-    legacy = {k: v for k, v in html.entities.html5.items() if not k.endswith(";")}
-    # A number reference in the C1 range means the Windows-1252 character there.
-    c1 = {}
+def _entities() -> tuple[str, str, str]:
+    """JSON of named references, JSON of numbers with a meaning of their own, legacy names."""
+    legacy = [name for name in html.entities.html5 if not name.endswith(";")]
+    odd = {0: "\ufffd"}
     for code in range(0x80, 0xA0):
-        try:
-            c1[str(code)] = bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            c1[str(code)] = chr(code)
+        # A number in the C1 range means the Windows-1252 character there.
+        odd[code] = bytes([code]).decode("cp1252", "ignore") or chr(code)
+    controls = [*range(1, 9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0)]
+    for code in controls + [plane + last for plane in range(0, 0x110000, 0x10000)
+                            for last in (0xFFFE, 0xFFFF)]:
+        odd[code] = ""
     longest_first = "|".join(sorted(legacy, key=len, reverse=True))
-    return json.dumps(named | legacy), json.dumps(c1), longest_first
-
-
-def _code_point(n: Column) -> Column:
-    """Character of a numeric reference under the HTML rules for odd code points."""
-    _, c1, _ = _entity_json()
-    replacement = (n == 0) | ((n >= 0xD800) & (n <= 0xDFFF)) | (n > 0x10FFFF)
-    dropped = (
-        ((n >= 0x1) & (n <= 0x8))
-        | (n == 0xB)
-        | ((n >= 0xE) & (n <= 0x1F))
-        | (n == 0x7F)
-        | ((n >= 0xFDD0) & (n <= 0xFDEF))
-        | ((n.bitwiseAND(F.lit(0xFFFE))) == 0xFFFE)
-    )
-    utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return (
-        F.when(n.between(0x80, 0x9F), F.element_at(_literal_map(c1), n.cast("string")))
-        .when(n.isNull() | replacement, F.lit("\ufffd"))
-        .when(dropped, F.lit(""))
-        .otherwise(utf32)
-    )
+    return json.dumps(html.entities.html5), json.dumps(odd), longest_first
 
 
 def _literal_map(text: str) -> Column:
     return F.from_json(F.lit(text), "map<string,string>")
 
 
+def _numbered(digits: Column) -> Column:
+    """Character of a reference ``#123`` or ``#x7b`` without its mark."""
+    n = F.when(
+        F.startswith(F.lower(digits), F.lit("x")), F.conv(F.substr(digits, F.lit(2)), 16, 10)
+    ).otherwise(digits).try_cast("decimal(38,0)")
+    beyond = n.isNull() | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(n.try_cast("bigint")), 8, "0")), "UTF-32")
+    odd = F.try_element_at(_literal_map(_entities()[1]), n.cast("string"))
+    return F.coalesce(odd, F.when(beyond, F.lit("\ufffd")).otherwise(utf32))
+
+
 def _after_ampersand(seg: Column) -> Column:
     """Text that stands for ``'&' + seg``; at most one reference starts there."""
-    names, _, legacy = _entity_json()
+    names, _, legacy = _entities()
+    table = _literal_map(names)
     ref = F.regexp_extract(seg, r"^([^\t\n\f <&#;]{1,32};?)", 1)
-    number = F.regexp_extract(seg, r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
-    digits = F.regexp_extract(seg, r"^#0*([0-9]+)", 1)
-    hexits = F.regexp_extract(seg, r"^#[xX]0*([0-9a-fA-F]+)", 1)
-    # More digits than any code point has means "out of range".
-    n = F.when(
-        hexits != "",
-        F.when(F.length(hexits) > 8, F.lit(0x110000)).otherwise(
-            F.conv(hexits, 16, 10).cast("bigint")
-        ),
-    ).otherwise(
-        F.when(F.length(digits) > 10, F.lit(0x110000)).otherwise(digits.try_cast("bigint"))
-    )
     prefix = F.regexp_extract(ref, f"^({legacy})", 1)
-    table = _literal_map(names)
+    name = F.get(F.filter(F.array(ref, prefix), lambda k: F.map_contains_key(table, k)), 0)
+    number = F.regexp_extract(seg, r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?)", 1)
+    digits = F.btrim(number, F.lit("#;"))
 
     def rest(taken: Column) -> Column:
         return F.substr(seg, F.length(taken) + 1)
 
     return (
         F.when(F.startswith(seg, F.lit("amp;")), F.concat(F.lit("&"), F.substr(seg, F.lit(5))))
-        .when(number != "", F.concat(_code_point(n), rest(number)))
-        .when(F.try_element_at(table, ref).isNotNull(),
-              F.concat(F.try_element_at(table, ref), rest(ref)))
-        .when(prefix != "", F.concat(F.try_element_at(table, prefix), rest(prefix)))
+        .when(number != "", F.concat(_numbered(digits), rest(number)))
+        .when(name.isNotNull(), F.concat(F.try_element_at(table, name), rest(name)))
         .otherwise(F.concat(F.lit("&"), seg))
     )
 

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import jsonld
-from ..functions.fields import absolute_url, contains_any, slug_from_url
+from ..functions.fields import contains_any, slug_from_url
 from ..functions.numbers import discount_pct
-from ..functions.selectors import Scope, Sel, attr, cls, some_attribute, tag
+from ..functions.rows import compute_once, keep_where
+from ..functions.selectors import Scope, Sel, attr, cls, is_below, picked, read, tag
 from .discover import scope
 from .listing import (
-    IMAGE_ATTRIBUTES, badge_labels, flag_columns, read_price, read_rating, read_reviews, read_sku,
+    badge_labels, flag_columns, image_reader, price_reader, rating_reader, reviews_reader,
+    sku_reader,
 )
 
 # Where each part of a product page is looked for, in the order of the tries.
@@ -90,28 +92,30 @@ class DetailRules:
     locale: str = "plain"
 
 
-def _longer(where: Scope, sels: Sequence[Sel], least: int) -> Column:
-    def read(n: Column) -> Column:
+def _longer_reader(where: Scope, least: int):
+    def reader(n: Column) -> Column:
         text = where.text_of(n)
         return F.when(F.length(text) > least, text)
 
-    return F.coalesce(where.first_value(sels, read), F.lit(""))
+    return reader
 
 
-def _from_info_table(where: Scope, words: tuple[str, ...]) -> Column:
-    """Value cell of the first table row whose key cell has one of the words."""
-    rows = F.transform(
-        where.all(INFO_ROWS),
-        lambda row: F.transform(where.below(row, INFO_CELLS), where.text_of),
-    )
-    fits = F.filter(
-        rows, lambda r: (F.size(r) >= 2) & contains_any(F.lower(F.get(r, 0)), words)
-    )
+def _info_rows(where: Scope) -> Column:
+    """Cell texts of the product tables' rows that have a key and a value."""
+    rows = F.transform(F.col("table_rows"), lambda row: F.transform(
+        F.filter(F.col("cells"), lambda cell: is_below(cell, row)), where.text_of
+    ))
+    return F.filter(rows, lambda r: F.size(r) >= 2)
+
+
+def _from_info_rows(rows: Column, words: tuple[str, ...]) -> Column:
+    """Value cell of the first row whose key cell has one of the words."""
+    fits = F.filter(rows, lambda r: contains_any(F.lower(F.get(r, 0)), words))
     return F.get(F.get(fits, 0), 1)
 
 
-def _stock(where: Scope) -> Column:
-    def read(n: Column) -> Column:
+def _stock_reader(where: Scope):
+    def reader(n: Column) -> Column:
         s = F.lower(where.text_of(n))
         return (
             F.when(contains_any(s, IN_STOCK_PHRASES), "in_stock")
@@ -119,53 +123,59 @@ def _stock(where: Scope) -> Column:
             .otherwise(s)
         )
 
-    cart = F.when(where.first(CART_BUTTONS).isNotNull(), F.lit("in_stock"))
-    return F.coalesce(where.first_value(STOCK_TEXTS, read), cart, F.lit("unknown"))
-
-
-def main_image(where: Scope, base: Column) -> Column:
-    return where.first_value(
-        MAIN_IMAGES, lambda n: absolute_url(base, some_attribute(n, *IMAGE_ATTRIBUTES))
-    )
+    return reader
 
 
 def gallery(where: Scope, base: Column, main: Column) -> Column:
-    """Main image, then gallery images, each once; NULL if there are none."""
-    sources = [
-        F.transform(
-            where.all(sel), lambda n: absolute_url(base, some_attribute(n, *IMAGE_ATTRIBUTES))
-        )
-        for sel in GALLERIES
-    ]
+    """Main image, then the images of each gallery, each once; NULL if there are none."""
+    reader = image_reader(base)
+    sources = [F.transform(where.all((sel,)), reader) for sel in GALLERIES]
     every = F.array_distinct(F.array_compact(F.concat(F.array(main), *sources)))
     return F.when(F.size(every) > 0, every)
 
 
+def _fields(rules: DetailRules) -> dict[str, Sequence[Sel]]:
+    return {
+        "name": rules.names, "description": rules.descriptions, "price": rules.prices,
+        "original_price": rules.original_prices, "image": MAIN_IMAGES, "sku": SKUS,
+        "brand": BRANDS, "stock": STOCK_TEXTS, "cart": CART_BUTTONS, "rating": RATINGS,
+        "reviews": REVIEWS, "ingredients": INGREDIENTS, "usage": USAGES,
+    }
+
+
 def html_detail(docs: DataFrame, base: Column, *keep: str,
                 rules: DetailRules = DetailRules()) -> DataFrame:
     """Markup reading of every page, with a NULL name where the page has none."""
-    where = scope()
-    parts = docs.select(
-        *keep,
-        _longer(where, rules.names, MIN_NAME_LENGTH).alias("name"),
-        _longer(where, rules.descriptions, MIN_DESCRIPTION_LENGTH).alias("description"),
-        read_price(where, rules.prices, rules.locale).alias("price"),
-        read_price(where, rules.original_prices, rules.locale).alias("original_price"),
-        main_image(where, base).alias("image_url"),
-        F.col("doc"),
+    where, picks = scope(), F.col("picks")
+    found = compute_once(
+        docs, *keep, "doc", where.picks(_fields(rules)).alias("picks"),
+        where.all(FILLED_STARS).alias("stars"), where.all(INFO_ROWS).alias("table_rows"),
+        where.all(INFO_CELLS).alias("cells"),
+    ).withColumn("info", _info_rows(where))
+    cart = F.when(picked(picks, "cart"), F.lit("in_stock"))
+    parts = found.select(
+        *keep, "doc",
+        read(picks, "name", _longer_reader(where, MIN_NAME_LENGTH)).alias("name"),
+        F.coalesce(
+            read(picks, "description", _longer_reader(where, MIN_DESCRIPTION_LENGTH)), F.lit("")
+        ).alias("description"),
+        read(picks, "price", price_reader(where, rules.locale)).alias("price"),
+        read(picks, "original_price", price_reader(where, rules.locale)).alias("original_price"),
+        read(picks, "image", image_reader(base)).alias("image_url"),
         F.coalesce(
-            read_sku(where, SKUS), _from_info_table(where, SKU_WORDS), F.lit("")
+            read(picks, "sku", sku_reader(where)), _from_info_rows(F.col("info"), SKU_WORDS), F.lit("")
         ).alias("sku"),
         F.coalesce(
-            where.first_value(BRANDS, where.some_text),
-            _from_info_table(where, BRAND_WORDS),
+            read(picks, "brand", where.some_text), _from_info_rows(F.col("info"), BRAND_WORDS),
             F.lit(""),
         ).alias("brand_name"),
-        _stock(where).alias("availability"),
-        read_rating(where, RATINGS, FILLED_STARS).alias("rating"),
-        read_reviews(where, REVIEWS).alias("review_count"),
-        where.first_value(INGREDIENTS, where.some_text).alias("ingredients"),
-        where.first_value(USAGES, where.some_text).alias("usage_instructions"),
+        F.coalesce(read(picks, "stock", _stock_reader(where)), cart, F.lit("unknown")).alias(
+            "availability"
+        ),
+        read(picks, "rating", rating_reader(where, F.col("stars"))).alias("rating"),
+        read(picks, "reviews", reviews_reader(where)).alias("review_count"),
+        read(picks, "ingredients", where.some_text).alias("ingredients"),
+        read(picks, "usage", where.some_text).alias("usage_instructions"),
         badge_labels(where).alias("labels"),
     )
     flags = flag_columns(F.col("labels"))
@@ -174,7 +184,6 @@ def html_detail(docs: DataFrame, base: Column, *keep: str,
         "images": gallery(where, base, F.col("image_url")),
         "category_name": F.lit(None).cast("string"),
         "currency": F.lit(None).cast("string"),
-        "name": F.nullif(F.col("name"), F.lit("")),
         **flags,
     }
     return parts.select(*keep, *[extra.get(c, F.col(c)).alias(c) for c in DETAIL_COLUMNS])
@@ -182,7 +191,8 @@ def html_detail(docs: DataFrame, base: Column, *keep: str,
 
 def jsonld_detail(docs: DataFrame, *keep: str) -> DataFrame:
     """Linked-data reading of the pages that hold a product."""
-    rows = docs.select(*keep, jsonld.detail_item(scope()).alias("item")).where("item IS NOT NULL")
+    rows = docs.select(*keep, jsonld.detail_item(scope()).alias("item"))
+    rows = keep_where(rows, F.col("item").isNotNull())
     return rows.select(*keep, *[c.alias(n) for n, c in jsonld.detail_product(F.col("item")).items()])
 
 
@@ -192,7 +202,7 @@ def product_detail(docs: DataFrame, base: Column, *keep: str,
 
     ``keep`` must hold ``url``.
     """
-    found = docs.select(*keep, "doc", jsonld.detail_item(scope()).alias("item"))
+    found = compute_once(docs, *keep, "doc", jsonld.detail_item(scope()).alias("item"))
     # Without its elements a linked-data page costs the markup rules nothing.
     unread = F.when(F.col("item").isNull(), F.col("doc")).alias("doc")
     with_item = found.select(*keep, unread, "item")
@@ -204,7 +214,7 @@ def product_detail(docs: DataFrame, base: Column, *keep: str,
         other = linked.get(name, F.lit(None))
         return F.when(has_item, other).otherwise(F.col(name)).alias(name)
 
-    rows = markup.where(has_item | F.col("name").isNotNull())
+    rows = keep_where(markup, has_item | (F.col("name") != ""))
     kept = [F.col(c) for c in keep]
     return rows.select(
         *kept, slug_from_url(F.col("url")).alias("slug"), *[pick(c) for c in DETAIL_COLUMNS]

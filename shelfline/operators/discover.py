@@ -50,7 +50,7 @@ def with_document(pages: DataFrame) -> DataFrame:
 
 
 def scope(doc: str = "doc") -> Scope:
-    return Scope(F.col(f"{doc}.nodes"), F.col(f"{doc}.text"))
+    return Scope(f"{doc}.nodes", f"{doc}.text")
 
 
 def is_category_link(href: Column, text: Column) -> Column:
@@ -86,7 +86,7 @@ def menu_links(where: Scope, rules: MenuRules = MenuRules()) -> Column:
 
 
 def path_links(where: Scope, rules: MenuRules = MenuRules()) -> Column:
-    listed = links(where, where.all(attr("href", on="a")))
+    listed = links(where, where.all((attr("href", on="a"),)))
     return F.filter(category_links(listed), lambda x: contains_any(x["href"], rules.paths))
 
 

@@ -11,10 +11,10 @@ from ..functions import jsonld
 from ..functions.fields import absolute_url, badge_label, contains_any, page_url, slug_from_url
 from ..functions.html import NODE_TYPE
 from ..functions.numbers import discount_pct, first_int, first_number, parse_float, parse_price_text
+from ..functions.rows import compute_once, keep_where
 from ..functions.selectors import (
-    Scope, Sel, attr, attribute, cls, some_attribute, tag,
+    Scope, Sel, attr, attribute, cls, is_below, picked, read, some_attribute, tag,
 )
-from ..functions.text import blank_to_null
 from .discover import scope
 
 # Where each part of a card is looked for, in the order of the tries.
@@ -77,32 +77,38 @@ def non_zero(c: Column) -> Column:
     return F.when(c != 0, c)
 
 
-def read_price(where: Scope, sels: Sequence[Sel], locale: str) -> Column:
-    """First price that is neither missing nor zero."""
-    return where.first_value(
-        sels, lambda n: non_zero(parse_price_text(where.text_of(n), locale))
-    )
+def price_reader(where: Scope, locale: str):
+    """A price that is neither missing nor zero."""
+    return lambda n: non_zero(parse_price_text(where.text_of(n), locale))
 
 
-def read_rating(where: Scope, sels: Sequence[Sel], stars: Sequence[Sel]) -> Column:
-    """Rating attribute, else first number in the text, else number of filled stars."""
+def rating_reader(where: Scope, stars: Column):
+    """Rating attribute, else first number in the text, else number of filled ``stars`` below."""
 
-    def read(n: Column) -> Column:
-        given = [parse_float(blank_to_null(attribute(n, a))) for a in RATING_ATTRIBUTES]
-        filled = F.size(where.below(n, stars)).cast("double")
-        return non_zero(F.coalesce(*given, first_number(where.text_of(n)), filled))
+    def reader(n: Column) -> Column:
+        given = F.filter(
+            F.transform(
+                F.array(*[F.lit(a) for a in RATING_ATTRIBUTES]),
+                lambda a: parse_float(F.try_element_at(n["attrs"], a)),
+            ),
+            lambda x: x.isNotNull(),
+        )
+        filled = F.size(F.filter(stars, lambda s: is_below(s, n))).cast("double")
+        return non_zero(F.coalesce(F.get(given, 0), first_number(where.text_of(n)), filled))
 
-    return where.first_value(sels, read)
+    return reader
 
 
-def read_reviews(where: Scope, sels: Sequence[Sel]) -> Column:
-    return where.first_value(sels, lambda n: first_int(where.text_of(n)))
+def reviews_reader(where: Scope):
+    return lambda n: first_int(where.text_of(n))
 
 
-def read_sku(where: Scope, sels: Sequence[Sel]) -> Column:
-    return where.first_value(
-        sels, lambda n: F.coalesce(some_attribute(n, "data-sku"), where.some_text(n))
-    )
+def sku_reader(where: Scope):
+    return lambda n: F.coalesce(some_attribute(n, "data-sku"), where.some_text(n))
+
+
+def image_reader(base: Column):
+    return lambda n: absolute_url(base, some_attribute(n, *IMAGE_ATTRIBUTES))
 
 
 def badge_labels(where: Scope) -> Column:
@@ -126,49 +132,67 @@ def card_slices(where: Scope, rules: CardRules) -> Column:
 
     Exploding these small structs keeps the page text out of the exploded rows.
     """
-    found = where.all_by_rank(rules.cards)
+    found, nodes, text = where.all_by_rank(rules.cards), F.col(where.nodes), F.col(where.text)
 
     def cut(c: Column) -> Column:
-        around = F.filter(
-            where.nodes, lambda n: (n["pre"] < c["pre"]) & (n["post"] >= c["post"])
-        )
-        inner = F.slice(where.nodes, c["pre"] + 1, c["post"] - c["pre"] + 1)
+        around = F.filter(nodes, lambda n: (n["pre"] < c["pre"]) & (n["post"] >= c["post"]))
+        inner = F.slice(nodes, c["pre"] + 1, c["post"] - c["pre"] + 1)
         return F.struct(
             c.alias("card"),
             F.concat(around, inner).alias("nodes"),
-            F.substr(where.text, c["start"] + 1, c["stop"] - c["start"]).alias("text"),
+            F.substr(text, c["start"] + 1, c["stop"] - c["start"]).alias("text"),
         )
 
     return F.transform(found, cut)
 
 
-def _card_product(rules: CardRules, base: Column) -> list[Column]:
-    card = F.col("c.card")
-    where = Scope(F.col("c.nodes"), F.col("c.text"), shift=card["start"], root=card)
-    link = F.coalesce(
-        where.first_by_rank(rules.names),
-        F.get(F.filter(where.all(tag("a")), lambda n: n["lone_text"]), 0),
+def _card_fields(rules: CardRules) -> dict[str, Sequence[Sel]]:
+    return {
+        "name": rules.names, "price": rules.prices, "original_price": rules.original_prices,
+        "image": IMAGES, "rating": RATINGS, "reviews": REVIEWS, "sku": SKUS, "stock": STOCK_TEXTS,
+        "there": (cls("available"),), "gone": (cls("unavailable"),),
+    }
+
+
+def _card_scope() -> Scope:
+    return Scope("c.nodes", "c.text", shift="c.card.start", root="c.card")
+
+
+def _search_card(rows: DataFrame, rules: CardRules) -> DataFrame:
+    """Find a card's elements once; the columns below read from what was found."""
+    where = _card_scope()
+    return compute_once(
+        rows, *rows.columns, where.picks(_card_fields(rules)).alias("picks"),
+        where.all(FILLED_STARS).alias("stars"), where.all((tag("a"),)).alias("anchors"),
     )
+
+
+def _card_product(rules: CardRules, base: Column) -> list[Column]:
+    """Columns of a card from ``c`` and its ``picks``."""
+    where, picks = _card_scope(), F.col("picks")
+    lone = F.filter("anchors", lambda n: n["lone_text"])
+
+    def link_of(n: Column) -> Column:
+        return F.struct(
+            where.text_of(n).alias("text"),
+            F.coalesce(attribute(n, "href"), F.lit("")).alias("href"),
+        )
+
     stock = F.coalesce(
-        where.first_value(STOCK_TEXTS, where.text_of),
-        F.when(where.first(cls("available")).isNotNull(), F.lit("in_stock")),
-        F.when(where.first(cls("unavailable")).isNotNull(), F.lit("out_of_stock")),
+        read(picks, "stock", where.text_of),
+        F.when(picked(picks, "there"), F.lit("in_stock")),
+        F.when(picked(picks, "gone"), F.lit("out_of_stock")),
         F.lit("unknown"),
     )
-    class_text = F.array_join(card["classes"], " ")
+    class_text = F.array_join(F.col("c.card.classes"), " ")
     return [
-        F.when(link.isNotNull(), F.struct(
-            where.text_of(link).alias("text"),
-            absolute_url(base, F.coalesce(attribute(link, "href"), F.lit(""))).alias("href"),
-        )).alias("link"),
-        read_price(where, rules.prices, rules.locale).alias("price"),
-        read_price(where, rules.original_prices, rules.locale).alias("original_price"),
-        where.first_value(
-            IMAGES, lambda n: absolute_url(base, some_attribute(n, *IMAGE_ATTRIBUTES))
-        ).alias("image_url"),
-        read_rating(where, RATINGS, FILLED_STARS).alias("rating"),
-        read_reviews(where, REVIEWS).alias("review_count"),
-        read_sku(where, SKUS).alias("sku"),
+        F.coalesce(read(picks, "name", link_of), F.get(F.transform(lone, link_of), 0)).alias("link"),
+        read(picks, "price", price_reader(where, rules.locale)).alias("price"),
+        read(picks, "original_price", price_reader(where, rules.locale)).alias("original_price"),
+        read(picks, "image", image_reader(base)).alias("image_url"),
+        read(picks, "rating", rating_reader(where, F.col("stars"))).alias("rating"),
+        read(picks, "reviews", reviews_reader(where)).alias("review_count"),
+        read(picks, "sku", sku_reader(where)).alias("sku"),
         stock.alias("availability"),
         badge_labels(where).alias("labels"),
         contains_any(class_text, FEATURED_CLASS_PARTS).alias("class_featured"),
@@ -179,13 +203,15 @@ def card_products(docs: DataFrame, base: Column, *keep: str,
                   rules: CardRules = CardRules()) -> DataFrame:
     """One row per card that has a name link; ``pos`` is the card's place on the page."""
     cards = docs.select(*keep, F.posexplode(card_slices(scope(), rules)).alias("pos", "c"))
-    parts = cards.select(*keep, "pos", *_card_product(rules, base)).where(F.col("link").isNotNull())
+    parts = _search_card(cards, rules).select(*keep, "pos", *_card_product(rules, base))
+    parts = keep_where(parts, F.col("link").isNotNull())
+    url = absolute_url(base, F.col("link.href"))
     flags = flag_columns(F.col("labels"), F.col("class_featured"))
     return parts.select(
         *keep, "pos",
         F.col("link.text").alias("name"),
-        F.col("link.href").alias("url"),
-        slug_from_url(F.col("link.href")).alias("slug"),
+        url.alias("url"),
+        slug_from_url(url).alias("slug"),
         "price", "original_price",
         discount_pct(F.col("price"), F.col("original_price")).alias("discount_percentage"),
         "image_url", "rating", "review_count", "sku", "availability",
@@ -199,7 +225,7 @@ def jsonld_products(docs: DataFrame, *keep: str) -> DataFrame:
     rows = docs.select(*keep, F.posexplode(items).alias("pos", "item"))
     flat = jsonld.listing_product(F.col("item"))
     rows = rows.select(*keep, "pos", *[c.alias(n) for n, c in flat.items()])
-    rows = rows.where(F.col("name").isNotNull())
+    rows = keep_where(rows, F.col("name").isNotNull())
     missing = [c for c in LISTING_COLUMNS if c not in rows.columns]
     types = {"original_price": "double", "discount_percentage": "double", "sku": "string",
              "availability": "string"}
@@ -229,6 +255,7 @@ def listing_products(docs: DataFrame, base: Column, *keep: str,
     )
     rows = docs.select(*keep, F.posexplode(F.coalesce(cards, linked)).alias("pos", "found"))
     rows = rows.select(*keep, "pos", "found.c", "found.item")
+    rows = _search_card(rows, rules)
     from_ld = jsonld.listing_product(F.col("item"))
     is_card = F.col("c").isNotNull()
     parts = rows.select(
@@ -236,12 +263,13 @@ def listing_products(docs: DataFrame, base: Column, *keep: str,
         *_card_product(rules, base),
         F.struct(*[c.alias(name) for name, c in from_ld.items()]).alias("ld"),
     )
-    parts = parts.where(F.col("link").isNotNull() | F.col("ld.name").isNotNull())
+    parts = keep_where(parts, F.col("link").isNotNull() | F.col("ld.name").isNotNull())
     flags = flag_columns(F.col("labels"), F.col("class_featured"))
+    url = absolute_url(base, F.col("link.href"))
     of_card = {
         "name": F.col("link.text"),
-        "url": F.col("link.href"),
-        "slug": slug_from_url(F.col("link.href")),
+        "url": url,
+        "slug": slug_from_url(url),
         "discount_percentage": discount_pct(F.col("price"), F.col("original_price")),
         **flags,
     }

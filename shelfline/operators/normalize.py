@@ -18,8 +18,11 @@ def _flag_kind(dtype: T.DataType) -> str:
     return "text" if numbers.is_text(dtype) else "number"
 
 
-def product_columns(raw: DataFrame, locale: str = "plain") -> dict[str, Column]:
-    """Normalized product columns; a column the input lacks counts as absent in every row."""
+def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> DataFrame:
+    """Normalized product rows; a column the input lacks counts as absent in every row.
+
+    All texts go through one array expression, so the plan holds the text rule once.
+    """
     types = {f.name: f.dataType for f in raw.schema}
 
     def col(name: str) -> tuple[Column, bool]:
@@ -27,11 +30,13 @@ def product_columns(raw: DataFrame, locale: str = "plain") -> dict[str, Column]:
             return F.lit(None).cast("string"), True
         return F.col(name), numbers.is_text(types[name])
 
-    out: dict[str, Column] = {}
-    for name in _TEXTS:
-        out[name] = text.normalize_text(col(name)[0])
-    for name in _URLS:
-        out[name] = fields.normalize_url(col(name)[0])
+    def together(names: tuple[str, ...], rule) -> Column:
+        return F.transform(F.array(*[col(n)[0].cast("string") for n in names]), rule)
+
+    out: dict[str, Column] = {
+        **{name: F.get("_texts", i) for i, name in enumerate(_TEXTS)},
+        **{name: F.get("_urls", i) for i, name in enumerate(_URLS)},
+    }
     for name in ("price", "original_price"):
         out[name] = numbers.normalize_price(*col(name), locale=locale)
     out["discount_percentage"] = numbers.normalize_percentage(*col("discount_percentage"))
@@ -44,12 +49,11 @@ def product_columns(raw: DataFrame, locale: str = "plain") -> dict[str, Column]:
     out["images"] = fields.normalize_images(col("images")[0], is_list)
     for name in _FLAGS:
         out[name] = fields.normalize_boolean(col(name)[0], _flag_kind(types.get(name, T.StringType())))
-    return {name: out[name] for name in NORMALIZED_PRODUCT}
-
-
-def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> DataFrame:
-    columns = product_columns(raw, locale)
-    return raw.select(*keep, *[c.alias(name) for name, c in columns.items()])
+    lists = raw.select(
+        "*", together(_TEXTS, lambda x: text.normalize_text(x)).alias("_texts"),
+        together(_URLS, fields.normalize_url).alias("_urls"),
+    )
+    return lists.select(*keep, *[out[name].alias(name) for name in NORMALIZED_PRODUCT])
 
 
 def _given(raw: DataFrame, name: str) -> Column:

@@ -13,6 +13,7 @@ from ..operators import (
     detail, discover, export, hierarchy, listing, lookup, merge, normalize, quality, runlog, stats,
 )
 from ..plans import refresh
+from ..session import cut_lineage
 from ..sources.catalog import Snapshot
 from ..sources.pages import read_pages
 from . import shop, tables as t
@@ -826,22 +827,27 @@ def known_parts(spark, d) -> Snapshot:
     return Snapshot(t.categories(spark, d), t.brands(spark, d), prods)
 
 
+def landed(spark, d) -> DataFrame:
+    """The shop's pages, written out as a crawler would have landed them."""
+    return cut_lineage(shop.shop_pages(spark, d))
+
+
 @query
 def full_refresh(spark, d):
-    out = refresh.full_refresh(shop.shop_pages(spark, d), nothing(spark), shop.RULES, NOW)
+    out = refresh.full_refresh(landed(spark, d), nothing(spark), shop.RULES, NOW)
     return flat_products(out.snapshot.products)
 
 
 @query
 def full_refresh_stats(spark, d):
-    return refresh.full_refresh(shop.shop_pages(spark, d), nothing(spark), shop.RULES, NOW).stats
+    return refresh.full_refresh(landed(spark, d), nothing(spark), shop.RULES, NOW).stats
 
 
 @query
 def listing_refresh(spark, d):
     """Listings only, products named after the listing they came from."""
     out = refresh.full_refresh(
-        shop.shop_pages(spark, d), nothing(spark), shop.RULES, NOW, skip_details=True,
+        landed(spark, d), nothing(spark), shop.RULES, NOW, skip_details=True,
         on_missing_category="assign_source",
     )
     return out.snapshot.products.select("slug", "name", "price", "category_slug", "availability")
@@ -851,7 +857,7 @@ def listing_refresh(spark, d):
 def incremental_refresh(spark, d):
     at = datetime(2020, 2, 20)
     # Promoted parts have no category on their pages, so new ones are refused; see the stats.
-    out = refresh.incremental_refresh(shop.shop_pages(spark, d), known_parts(spark, d), shop.RULES, at, since_days=20)
+    out = refresh.incremental_refresh(landed(spark, d), known_parts(spark, d), shop.RULES, at, since_days=20)
     return out.merged.products.rows.select(
         "slug", "name", "price", "category_slug", "brand_slug", "updated_at", "change"
     )
@@ -860,7 +866,7 @@ def incremental_refresh(spark, d):
 @query
 def category_refresh(spark, d):
     out = refresh.category_refresh(
-        shop.listing_pages(spark, d), _shop_snapshot(spark, d), shop.RULES, "nation_3", NOW,
+        cut_lineage(shop.listing_pages(spark, d)), _shop_snapshot(spark, d), shop.RULES, "nation_3", NOW,
         on_missing_category="assign_source",
     )
     return out.merged.products.rows.where("change <> 'untouched'").select(
