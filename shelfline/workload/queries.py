@@ -666,9 +666,9 @@ def resolve_brands(spark, d):
 
 @query
 def merge_idempotent(spark, d):
-    """The same batch once more: nothing is created, and no value changes but the time."""
+    """The accepted rows once more: nothing is created, and no value changes but the time."""
     once = offer_merge(spark, d)
-    good = t.change_batch(spark, d)
+    good = lookup.missing(t.change_batch(spark, d), once.rejects, "pos")
     twice = merge.merge_products(
         once.products.table, once.categories.table, once.brands.table, good, t.ts(t.NOW)
     )
