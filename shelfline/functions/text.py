@@ -111,25 +111,35 @@ def unescape(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
-def normalize_text(c: Column, fold_quotes: bool = False) -> Column:
-    """Collapse white space, drop tags, decode entities; NULL becomes ``''``.
+def _collapse(c: Column) -> Column:
+    s = F.regexp_replace(strip(F.coalesce(c, F.lit(""))), f"[{WS}]+", " ")
+    return F.regexp_replace(s, "<[^>]+>", "")
+
+
+def _decode(c: Column, fold_quotes: bool) -> Column:
+    s = unescape(c)
+    return strip(F.translate(s, CURLY_QUOTES, STRAIGHT_QUOTES) if fold_quotes else s)
+
 
-    Tags go before entities are decoded, so an escaped tag survives as text.
+def normalize_texts(columns: list[Column], fold_quotes: bool = False) -> Column:
+    """Collapse white space, drop tags, decode entities, for all columns in one array.
+
+    NULL becomes ``''``. Tags go before entities are decoded, so an escaped tag survives as
+    text. Two steps, since a lambda computes an expression each time it is mentioned.
     """
-    s = strip(F.coalesce(c, F.lit("")))
-    s = F.regexp_replace(s, f"[{WS}]+", " ")
-    s = F.regexp_replace(s, "<[^>]+>", "")
-    s = unescape(s)
-    if fold_quotes:
-        s = F.translate(s, CURLY_QUOTES, STRAIGHT_QUOTES)
-    return strip(s)
+    collapsed = F.transform(F.array(*columns), lambda c: _collapse(c))
+    return F.transform(collapsed, lambda c: _decode(c, fold_quotes))
+
+
+def normalize_text(c: Column, fold_quotes: bool = False) -> Column:
+    return F.get(normalize_texts([c], fold_quotes), 0)
 
 
 def _slug_core(s: Column) -> Column:
     s = fold_diacritics(s)
     s = F.regexp_replace(s, rf"[^\p{{L}}\p{{N}}_{WS}-]", "")
     s = F.btrim(F.regexp_replace(s, f"[{WS}-]+", "-"), F.lit("-"))
-    return F.when(s == "", F.lit("unknown")).otherwise(s)
+    return F.coalesce(blank_to_null(s), F.lit("unknown"))
 
 
 def generate_slug(c: Column) -> Column:

@@ -30,12 +30,9 @@ def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> Dat
             return F.lit(None).cast("string"), True
         return F.col(name), numbers.is_text(types[name])
 
-    def together(names: tuple[str, ...], rule) -> Column:
-        return F.transform(F.array(*[col(n)[0].cast("string") for n in names]), rule)
-
     out: dict[str, Column] = {
         **{name: F.get("_texts", i) for i, name in enumerate(_TEXTS)},
-        **{name: F.get("_urls", i) for i, name in enumerate(_URLS)},
+        **{name: fields.normalize_url(col(name)[0]) for name in _URLS},
     }
     for name in ("price", "original_price"):
         out[name] = numbers.normalize_price(*col(name), locale=locale)
@@ -50,8 +47,7 @@ def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> Dat
     for name in _FLAGS:
         out[name] = fields.normalize_boolean(col(name)[0], _flag_kind(types.get(name, T.StringType())))
     lists = raw.select(
-        "*", together(_TEXTS, lambda x: text.normalize_text(x)).alias("_texts"),
-        together(_URLS, fields.normalize_url).alias("_urls"),
+        "*", text.normalize_texts([col(n)[0].cast("string") for n in _TEXTS]).alias("_texts")
     )
     return lists.select(*keep, *[out[name].alias(name) for name in NORMALIZED_PRODUCT])
 

@@ -36,3 +36,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files one task per core; a scan with enough splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

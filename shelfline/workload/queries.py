@@ -13,7 +13,7 @@ from ..operators import (
     detail, discover, export, hierarchy, listing, lookup, merge, normalize, quality, runlog, stats,
 )
 from ..plans import refresh
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from ..sources.catalog import Snapshot
 from ..sources.pages import read_pages
 from . import shop, tables as t
@@ -33,11 +33,11 @@ def query(f: Query) -> Query:
 
 
 def pages(spark: SparkSession, d: str) -> DataFrame:
-    return read_pages(spark, f"{d}/pages.parquet")
+    return spread(read_pages(spark, f"{d}/pages.parquet"))
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return t.table(spark, d, "documents")
+    return spread(t.table(spark, d, "documents"))
 
 
 def address_forms(spark: SparkSession, d: str) -> DataFrame:
@@ -481,7 +481,7 @@ def sql_escape(spark, d):
 
 def raw_feed(spark, d) -> DataFrame:
     """The feed as text, as a scraper would hand it over."""
-    li, p = t.table(spark, d, "lineitem"), t.table(spark, d, "part")
+    li, p = spread(t.table(spark, d, "lineitem")), t.table(spark, d, "part")
     rows = li.join(p, li.l_partkey == p.p_partkey)
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return rows.select(
@@ -535,7 +535,9 @@ def validate_products(spark, d):
 
 @query
 def quarantine_split(spark, d):
-    good, bad = quality.split_valid(normalize.normalize_products(raw_feed(spark, d), "pos"))
+    # Both halves read the normalized rows, so those are written once.
+    rows = cut_lineage(normalize.normalize_products(raw_feed(spark, d), "pos"))
+    good, bad = quality.split_valid(rows)
     return good.select("pos", F.lit("").alias("reason")).unionByName(bad.select("pos", "reason"))
 
 

@@ -9,7 +9,9 @@ offers      line items as product records of a feed: one product per (part, supp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import normalize_slug
 
@@ -20,8 +22,15 @@ CREATED = "2020-01-01 00:00:00"
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A given table. Its schema is looked up once, since inference is a job of its own."""
+    path = f"{d}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def ts(text: str) -> Column:
