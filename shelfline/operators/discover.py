@@ -11,6 +11,7 @@ from ..functions.fields import contains_any, join_url
 from ..functions.html import parse_page
 from ..functions.selectors import Scope, Sel, attr, attribute, cls, tag
 from ..functions.text import generate_slug
+from ..session import cut_lineage, small_side
 
 # Where menus are looked for, where sub-menus are looked for, path parts
 # of category links, and parts of links that are none.
@@ -146,8 +147,9 @@ def discover(pages: DataFrame, base_url: str, rules: MenuRules = MenuRules()) ->
     """All categories of a shop in discovery order ``at``: the menu first, then side menus."""
     base = F.lit(base_url.rstrip("/"))
     home = pages.where(F.col("url").isin(base_url.rstrip("/"), base_url.rstrip("/") + "/"))
-    main = main_categories(with_document(home), base, rules)
-    own = pages.join(main.select(F.col("full_url").alias("url")).distinct(), "url", "left_semi")
+    main = cut_lineage(main_categories(with_document(home), base, rules))
+    addresses = small_side(main.select(F.col("full_url").alias("url")).distinct())
+    own = pages.join(addresses, "url", "left_semi")
     sub = subcategories(with_document(own), main, base, rules)
     here = F.struct("page_id", "pos")
     none = F.struct(F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("int").alias("pos"))

@@ -7,6 +7,7 @@ rows is written once (``cut_lineage``) because several results are built from it
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -23,7 +24,7 @@ from ..operators.listing import (
 from ..operators.normalize import normalize_categories, normalize_products
 from ..operators.quality import split_valid
 from ..operators.stats import side_by_side
-from ..session import cut_lineage
+from ..session import cut_lineage, small_side
 from ..sources.catalog import CatalogStore, Snapshot
 
 
@@ -47,7 +48,7 @@ class Refresh:
     merged: merge.ProductMerge
     invalid: DataFrame
     stats: DataFrame
-    dumps: DataFrame | None = None
+    dumps: Callable[[], DataFrame] | None = None
 
 
 def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
@@ -60,7 +61,8 @@ def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
     keyed = pages.select(
         "page_id", "html", F.explode(listing_keys(F.col("url"))).alias("k")
     ).select("page_id", "html", "k.listing_url", "k.page_no")
-    mine = keyed.join(targets.select("listing_url").distinct(), "listing_url", "left_semi")
+    wanted = small_side(targets.select("listing_url").distinct())
+    mine = keyed.join(wanted, "listing_url", "left_semi")
     docs = with_document(mine).withColumn("has_next", has_next_page(scope()))
     rows = cut_lineage(listing_products(
         docs, rules.base, "page_id", "listing_url", "page_no", "has_next", rules=rules.cards
@@ -86,7 +88,7 @@ def detail_rows(pages: DataFrame, rules: ShopRules, wanted: DataFrame | None = N
     """
     some = pages.where(may_show_product(F.col("html")))
     if wanted is not None:
-        some = some.join(wanted.select("url").distinct(), "url", "left_semi")
+        some = some.join(small_side(wanted.select("url").distinct()), "url", "left_semi")
     return product_detail(with_document(some), rules.base, "url", rules=rules.detail)
 
 
@@ -114,7 +116,7 @@ def _numbers(df: DataFrame, **counts: Column) -> DataFrame:
 
 
 def _result(merged: merge.ProductMerge, invalid: DataFrame, *figures: DataFrame,
-            dumps: DataFrame | None = None) -> Refresh:
+            dumps: Callable[[], DataFrame] | None = None) -> Refresh:
     table = Snapshot(merged.categories.table, merged.brands.table, merged.products.table)
     batch = merged.stats().select(
         (F.col("total") - F.col("errors")).alias("products_processed"),
@@ -151,9 +153,11 @@ def full_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, now: dat
         _numbers(visited, categories_processed=F.count("*")),
         _numbers(listed, products_found=F.count("*")),
     )
-    dumps = export.dump_lines(
-        merged.categories.table, merged.brands.table, merged.products.table, at
-    )
+    def dumps() -> DataFrame:
+        return export.dump_lines(
+            merged.categories.table, merged.brands.table, merged.products.table, at
+        )
+
     return _result(merged, invalid, *figures, dumps=dumps)
 
 
@@ -206,10 +210,12 @@ def category_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, slug
     merged, invalid = process_batch(
         current, current.categories, listed, at, on_missing_category, rules.cards.locale
     )
-    dumps = export.dump_lines(
-        merged.categories.table, merged.brands.table, merged.products.table, at,
-        subtree=True, outputs=mine.select("slug"),
-    )
+    def dumps() -> DataFrame:
+        return export.dump_lines(
+            merged.categories.table, merged.brands.table, merged.products.table, at,
+            subtree=True, outputs=mine.select("slug"),
+        )
+
     return _result(merged, invalid, _numbers(listed, products_found=F.count("*")), dumps=dumps)
 
 
@@ -226,7 +232,7 @@ def commit_refresh(store: CatalogStore, run_id: str, now: datetime, job, **optio
         done = store.commit(run_id, result.snapshot)
         figures = result.stats.first().asDict()
         if result.dumps is not None:
-            export.write_dumps(result.dumps, f"{store.root}/exports/version={run_id}")
+            export.write_dumps(result.dumps(), f"{store.root}/exports/version={run_id}")
     except Exception as e:
         failed = runlog.event(spark, run_id, datetime.now(), runlog.FAILED, errors=str(e)[:2000])
         store.append_run(failed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Pages are wide rows: small Arrow batches keep the Python workers' memory flat.
 SETTINGS = {
@@ -42,3 +42,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Give a scan of few files one task per core; a scan with enough splits stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a join side for broadcast after counting that it is small; else leave it to Spark.
+
+    Call it on a few narrow columns of written rows: the count is then one short job. It keeps
+    wide pages from being shuffled for a join with a handful of addresses.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
