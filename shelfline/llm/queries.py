@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, packing, token_count, token_store
+from . import (
+    decontaminate, exact, extract, katz, packing, simhash, token_count, token_store, toxicity, units,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -23,10 +25,27 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_corpus(read(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(read(spark, sf_dir, "documents"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(read(spark, sf_dir, "documents"), vocabulary())
 
@@ -35,8 +54,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(read(spark, sf_dir, "pages"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op4_exact_dedup, op7_token_store, op8_token_counts,
+    op1_best_fit_packing, op2_katz_backoff, op3_toxicity, op4_exact_dedup, op5_simhash_near_dedup, op6_decontamination,
+    op7_token_store, op8_token_counts, op9_html_extraction, op10_substring_dedup,
 )}
 
 ORACLES = {
