@@ -85,6 +85,11 @@ def features(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray, n
     return slots, grams[order], np.r_[0, np.cumsum(counts)]
 
 
+def _gathered(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by place."""
+    return np.stack([np.bincount(at, v, size) for v in values.T], axis=1).astype(np.float32)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
@@ -203,17 +208,15 @@ class Network:
         gate_f, g["uf"] = self._back_through(d_states[:, :, :h], trace_f, w["uf"], range(steps - 1, -1, -1), mask)
         gate_b, g["ub"] = self._back_through(d_states[:, :, h:], trace_b, w["ub"], range(steps), mask)
         d_gates = np.concatenate([gate_f, gate_b], axis=2).reshape(-1, 6 * h)
-        d_project = np.zeros((len(x), 6 * h), np.float32)
-        np.add.at(d_project, index.reshape(-1), d_gates)
+        d_project = _gathered(index.reshape(-1), d_gates, len(x))
         g["w"], g["b"] = x.T @ d_project, d_project.sum(axis=0)
         d_x = d_project @ w["w"].T
         slots, grams, at = words
         width, size = self.settings.width, np.diff(at)
-        g["word"], g["gram"] = np.zeros_like(w["word"]), np.zeros_like(w["gram"])
         vectors = self.settings.vectors
-        np.add.at(g["word"], slots % vectors, d_x[:, :width])
-        np.add.at(g["gram"], grams % vectors,
-                  np.repeat(d_x[:, width:2 * width] / np.maximum(size, 1)[:, None], size, axis=0))
+        g["word"] = _gathered(slots % vectors, d_x[:, :width], vectors)
+        shared = d_x[:, width:2 * width] / np.maximum(size, 1)[:, None]
+        g["gram"] = _gathered(grams % vectors, np.repeat(shared, size, axis=0), vectors)
         return loss, g
 
     def step(self, g: dict, moment: dict, n: int, rate: float) -> None:
@@ -353,7 +356,7 @@ class Scorer:
         return np.array([*map(self.rows.__getitem__, words)], np.int64)
 
     def read_sample(self, index: np.ndarray, mask: np.ndarray, words: tuple, odds: tuple) -> np.ndarray:
-        return self._read(index, mask, self._gates(words, odds))
+        return self._read(index, mask, np.ascontiguousarray(self._gates(words, odds)))
 
     def _read(self, windows: np.ndarray, mask: np.ndarray, table: np.ndarray, size: int = 512) -> np.ndarray:
         out = np.empty(len(windows), np.float32)
