@@ -75,3 +75,17 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: Column, sh
     hot = F.broadcast(classes.where(size * share >= total))
     cold = rows.join(hot.select(key), key, "left_anti").join(classes.where(size * share < total), key, "left")
     return rows.join(hot, key).unionByName(cold)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is among ``gone(doc_id)``; a null id is an id like others."""
+    same = F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id"))
+    return docs.alias("docs").join(gone.select("doc_id").distinct().alias("gone"), same, "left_anti")

@@ -15,7 +15,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import documents, stage
+from .common import documents, stage, without
 
 _KEEP = {*range(48, 58), *range(97, 123), *range(128, 256)}
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b in _KEEP else 32 for b in range(256))
@@ -272,3 +272,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """``docs`` without contaminated ones, all columns kept; rows that share an id go together."""
+    return without(docs, contamination(docs, benchmark, size).where("contaminated"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACE, documents, join_classes, stage
+from .common import SPACE, documents, free_name, join_classes, stage
 
 
 def normalised(text: Column) -> Column:
@@ -55,9 +55,19 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without later copies, all columns kept; of rows that repeat an id and its text, one."""
-    gone = duplicate_groups(docs).where("NOT kept").select("doc_id", "text_sha256").distinct()
-    sha = F.sha2(normalised(F.col("text")), 256)
-    marked = docs.withColumn("__sha", sha)
-    same = [F.col("doc_id").eqNullSafe(F.col("__id")), F.col("__sha") == F.col("text_sha256")]
-    left = marked.join(gone.withColumnRenamed("doc_id", "__id"), same, "left_anti")
-    return left.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    groups = stage(duplicate_groups(docs), "marked").select("doc_id", "text_sha256", "kept")
+    sha = free_name(docs, "sha")
+    marked = docs.withColumn(sha, F.sha2(normalised(F.col("text")), 256)).alias("docs")
+
+    def same(other: str) -> list[Column]:
+        return [F.col("docs.doc_id").eqNullSafe(F.col(f"{other}.doc_id")),
+                F.col(f"docs.{sha}") == F.col(f"{other}.text_sha256")]
+
+    gone = groups.where("NOT kept").distinct()
+    again = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
+    again = stage(again.drop("count"), "repeated")
+    left = marked.join(gone.alias("gone"), same("gone"), "left_anti")
+    if again.isEmpty():
+        return left.drop(sha)
+    once = left.join(again.alias("again"), same("again"), "left_semi").dropDuplicates(["doc_id", sha])
+    return left.join(again.alias("again"), same("again"), "left_anti").unionByName(once).drop(sha)

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import documents, join_classes, stage
+from .common import documents, join_classes, stage, without
 from .components import components
 
 FAN = 16  # members of a group, on every level
@@ -245,8 +245,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFra
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; all columns kept."""
-    gone = near_groups(docs, shingle, max_bits).where("NOT (doc_id <=> component_id)").select(
-        F.col("doc_id").alias("__id")
-    ).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")
+    """``docs`` with one document of each group, the one with the smallest id; all columns kept.
+
+    Rows that share an id are one document. Where nothing but null ids is linked, all stay.
+    """
+    return without(docs, near_groups(docs, shingle, max_bits).where("NOT (doc_id <=> component_id)"))

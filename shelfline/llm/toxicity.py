@@ -17,9 +17,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import documents
+from .common import documents, free_name
 
 EDGES = b".,;:!?\"'()[]{}<>|*&%$#@-_/\\"
 CACHE_WORDS = 150_000
@@ -475,32 +475,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row, from all windows of its text.
-
-    Texts without words, null ones too, get the share of toxic rows in the sample. Repeated
-    rows get equal scores; a null id stays null and is not held out; other columns are ignored.
-    """
+def _scored(docs: DataFrame, net: Network, text_col: str, name: str) -> DataFrame:
+    """``docs`` with one more column, the score of each row's whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net) if net.weights else None
         for batch in batches:
-            texts = batch["text"].cast(pa.binary()).to_pylist()
+            texts = [t or b"" for t in batch[text_col].cast(pa.binary()).to_pylist()]
             top = np.full(len(texts), -np.inf)
             for i in range(0, len(texts) if scorer else 0, 256):
                 owner, logit = scorer.many(texts[i:i + 256])
                 np.maximum.at(top, owner + i, logit)
             with np.errstate(over="ignore"):
                 value = np.where(np.isfinite(top), 1 / (1 + np.exp(-top)), net.base_rate)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(value)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
-    scored = documents(docs).mapInArrow(run, "doc_id long, score double")
-    return scored.select(
+
+def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row, from all windows of its text.
+
+    Texts without words, null ones too, get the share of toxic rows in the sample. Repeated
+    rows get equal scores; a null id stays null and is not held out; other columns are ignored.
+    """
+    return _scored(documents(docs), net, "text", "score").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the network rejects; rows that share an id go together."""
-    bad = score(docs, learn(docs, labels)).where("predicted = 1").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]), "left_anti")
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """``docs`` without the rows whose text the network rejects; all columns kept."""
+    name = free_name(docs, "score")
+    return _scored(docs, learn(docs, labels), "text", name).where(F.col(name) < threshold).drop(name)

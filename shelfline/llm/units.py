@@ -19,19 +19,24 @@ SENTENCE = regex.compile(r"\S(?:[^.!?\n]|[.!?](?!\s|$))*+[.!?]*")
 def units(text: str, min_words: int) -> Iterator[tuple[int, int, str]]:
     """``start, end, normalised`` of each line and of each sentence in a line of several.
 
-    Offsets count characters of the text. Normalised is lower case with single spaces. Units
-    of fewer than ``min_words`` words are left out: they are no passages and recur by chance.
+    Offsets count characters of the text. Normalised is lower case with single spaces and no
+    marks at the end. Units of fewer than ``min_words`` words are left out: they are no passages
+    and recur by chance.
     """
     for line in LINE.finditer(text):
         words = line[0].lower().split()
         if len(words) < min_words:
             continue
         low, high = line.span()
-        yield low, high, " ".join(words)
+        yield low, high, _normal(words)
         for s in SENTENCE.finditer(text, low, high):
             own = s[0].lower().split()
             if min_words <= len(own) < len(words):
-                yield s.start(), s.end(), " ".join(own)
+                yield s.start(), s.end(), _normal(own)
+
+
+def _normal(words: list[str]) -> str:
+    return " ".join(words).rstrip(".!?,;: ")
 
 
 def digest(unit: str) -> tuple[int, int]:
