@@ -9,6 +9,7 @@ All selection happens afterwards, as Column expressions over that list.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterable
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -29,7 +30,8 @@ HIDDEN_TEXT = frozenset("script style template rt rp".split())
 KEEP_SPACE = frozenset("pre textarea".split())
 WORD_LISTS = frozenset("class rel rev accesskey dropzone headers accept-charset".split())
 
-# Elements without attributes are listed only if some selector names their tag.
+# Elements without attributes are listed only if some selector names their tag: these, which
+# the package's own rules name, and those of the rules a caller passes on.
 NAMED_TAGS = frozenset("a h1 h2 h3 img nav header ul li tr td th title article".split())
 
 NODE_TYPE = (
@@ -42,8 +44,9 @@ PAGE_TYPE = f"struct<text:string,nodes:array<{NODE_TYPE}>>"
 class _PageReader(HTMLParser):
     """Collects elements; an end tag closes back to the nearest open tag of that name."""
 
-    def __init__(self) -> None:
+    def __init__(self, listed: frozenset[str]) -> None:
         super().__init__(convert_charrefs=False)
+        self.listed = listed
         self.nodes: list[list] = []
         self.open: list[tuple] = []  # (tag, node or None, [child count, only child is text])
         self.text: list[str] = []
@@ -80,7 +83,7 @@ class _PageReader(HTMLParser):
         if self.open:
             self._count_child(text=False)
         node = None
-        if attrs or tag in NAMED_TAGS:
+        if attrs or tag in self.listed:
             found = {k: v or "" for k, v in attrs}
             for key in WORD_LISTS & found.keys():
                 found[key] = " ".join(found[key].split())
@@ -142,8 +145,8 @@ class _PageReader(HTMLParser):
         return "".join(self.text), self.nodes
 
 
-def _read_page(markup: str) -> tuple[str, list[list]]:
-    reader = _PageReader()
+def _read_page(markup: str, listed: frozenset[str]) -> tuple[str, list[list]]:
+    reader = _PageReader(listed)
     reader.feed(markup)
     return reader.finish()
 
@@ -179,10 +182,10 @@ def _nodes_to_arrow(pages: list[list[list] | None]) -> pa.Array:
     )
 
 
-def read_pages(markup: pa.Array) -> pa.Array:
+def read_pages(markup: pa.Array, listed: frozenset[str] = NAMED_TAGS) -> pa.Array:
     texts, pages = [], []
     for page in markup:
-        text, nodes = _read_page(page.as_py() or "")
+        text, nodes = _read_page(page.as_py() or "", listed)
         texts.append(text)
         pages.append(nodes)
     return pa.StructArray.from_arrays(
@@ -190,6 +193,14 @@ def read_pages(markup: pa.Array) -> pa.Array:
     )
 
 
-def parse_page(markup: Column) -> Column:
-    """``struct<text, nodes>`` of a page. Filter rows first: this runs in Python workers."""
-    return F.arrow_udf(read_pages, PAGE_TYPE)(markup)
+def parse_page(markup: Column, tags: Iterable[str] = ()) -> Column:
+    """``struct<text, nodes>`` of a page. Filter rows first: this runs in Python workers.
+
+    ``tags`` are those that selectors name beside ``NAMED_TAGS``.
+    """
+    listed = NAMED_TAGS | frozenset(tags)
+
+    def read(pages: pa.Array) -> pa.Array:
+        return read_pages(pages, listed)
+
+    return F.arrow_udf(read, PAGE_TYPE)(markup)

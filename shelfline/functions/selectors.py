@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, is_dataclass, replace
 
 from pyspark.sql import Column, functions as F
 
@@ -51,6 +51,17 @@ class Sel:
         return {"field": field, **self._compound(), "outer": outer}
 
 
+def tags_of(rules: object) -> frozenset[str]:
+    """Every tag that selectors in ``rules`` name; rules may be nested in dataclasses and lists."""
+    if isinstance(rules, Sel):
+        return frozenset({rules.tag} - {None}) | tags_of(rules.inside)
+    if is_dataclass(rules):
+        rules = [getattr(rules, f.name) for f in fields(rules)]
+    if isinstance(rules, (list, tuple)):
+        return frozenset().union(*map(tags_of, rules))
+    return frozenset()
+
+
 def tag(name: str, *classes: str) -> Sel:
     return Sel(tag=name, classes=classes)
 

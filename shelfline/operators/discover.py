@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.fields import contains_any, join_url
 from ..functions.html import parse_page
-from ..functions.selectors import Scope, Sel, attr, attribute, cls, tag
+from ..functions.selectors import Scope, Sel, attr, attribute, cls, tag, tags_of
 from ..functions.text import generate_slug
-from ..session import cut_lineage, small_side
+from ..session import small_side, stage
 
 # Where menus are looked for, where sub-menus are looked for, path parts
 # of category links, and parts of links that are none.
@@ -45,9 +45,12 @@ class MenuRules:
     paths: tuple[str, ...] = CATEGORY_PATHS
 
 
-def with_document(pages: DataFrame) -> DataFrame:
-    """Replace ``html`` by the parsed ``doc``. Filter pages before calling this."""
-    return pages.withColumn("doc", parse_page(F.col("html"))).drop("html")
+def with_document(pages: DataFrame, *rules: object) -> DataFrame:
+    """Replace ``html`` by the parsed ``doc``. Filter pages before calling this.
+
+    Pass the rules that will search it, so that the elements they name are listed.
+    """
+    return pages.withColumn("doc", parse_page(F.col("html"), tags_of(rules))).drop("html")
 
 
 def scope(doc: str = "doc") -> Scope:
@@ -147,10 +150,10 @@ def discover(pages: DataFrame, base_url: str, rules: MenuRules = MenuRules()) ->
     """All categories of a shop in discovery order ``at``: the menu first, then side menus."""
     base = F.lit(base_url.rstrip("/"))
     home = pages.where(F.col("url").isin(base_url.rstrip("/"), base_url.rstrip("/") + "/"))
-    main = cut_lineage(main_categories(with_document(home), base, rules))
+    main = stage(main_categories(with_document(home, rules), base, rules))
     addresses = small_side(main.select(F.col("full_url").alias("url")).distinct())
     own = pages.join(addresses, "url", "left_semi")
-    sub = subcategories(with_document(own), main, base, rules)
+    sub = subcategories(with_document(own, rules), main, base, rules)
     here = F.struct("page_id", "pos")
     none = F.struct(F.lit(None).cast("long").alias("page_id"), F.lit(None).cast("int").alias("pos"))
     return main.select(

@@ -69,18 +69,22 @@ def _reference(c: str) -> Column:
     return F.when(F.col(c).isNotNull(), surrogate_id(F.col(c)).cast("string")).otherwise(F.lit("NULL"))
 
 
+def _head(table: str) -> str:
+    """First line of a row's statement."""
+    names = ["id", *[ID_COLUMNS.get(f.name, f.name) for f in TABLES[table]]]
+    return f"INSERT OR REPLACE INTO {table} ({', '.join(names)}) VALUES ("
+
+
 def insert_statement(table: str, ids: dict[str, Column] | None = None) -> Column:
     """``INSERT OR REPLACE`` text of a row. ``ids`` overrides how ids are written."""
     schema, ids = TABLES[table], ids or {}
-    names = ["id", *[ID_COLUMNS.get(f.name, f.name) for f in schema]]
     values = [ids.get("id", surrogate_id(F.col("slug")).cast("string"))]
     for f in schema:
         if f.name in ID_COLUMNS:
             values.append(ids.get(ID_COLUMNS[f.name], _reference(f.name)))
         else:
             values.append(_literal(f))
-    head = f"INSERT OR REPLACE INTO {table} ({', '.join(names)}) VALUES (\n    "
-    return F.concat(F.lit(head), F.concat_ws(",\n    ", *values), F.lit("\n);"))
+    return F.concat(F.lit(_head(table) + "\n    "), F.concat_ws(",\n    ", *values), F.lit("\n);"))
 
 
 def insert_lines(rows: DataFrame, table: str, *keep: str,
@@ -111,9 +115,13 @@ def schema_lines(spark: SparkSession) -> DataFrame:
 
 
 def _membership(categories: DataFrame, products: DataFrame, subtree: bool) -> DataFrame:
-    """Products with the output they go to: their own category's, or every ancestor's too."""
+    """Products with the output they go to: their own category's, or every ancestor's too.
+
+    A product of an unknown category goes nowhere; ``export_orphans`` counts those.
+    """
     if not subtree:
-        return products.withColumn("output", F.col("category_slug"))
+        known = categories.select(F.col("slug").alias("category_slug"))
+        return products.join(known, "category_slug", "left_semi").withColumn("output", F.col("category_slug"))
     return hierarchy.subtree_products(categories, products).withColumnRenamed("root", "output")
 
 
@@ -191,6 +199,12 @@ def dump_lines(categories: DataFrame, brands: DataFrame, products: DataFrame, ex
     )
 
 
+def export_orphans(categories: DataFrame, products: DataFrame) -> DataFrame:
+    """``category_slug, n_products``: what no dump can hold, by the category that is missing."""
+    lost = hierarchy.orphans(categories, products)
+    return lost.groupBy("category_slug").agg(F.count("*").alias("n_products"))
+
+
 ORDER = ("output", "section", "n", "slug")
 
 
@@ -253,7 +267,8 @@ def read_dumps(spark: SparkSession, path: str) -> DataFrame:
 
 def reconcile(written: DataFrame, categories: DataFrame, products: DataFrame) -> DataFrame:
     """Per category: products in the source and products found in what was written."""
-    statement = F.startswith("line", F.lit("INSERT OR REPLACE INTO products "))
+    # The whole first line of a statement, so that no text with a line break passes for one.
+    statement = F.substring_index("line", "\n", 1) == _head("products")
     found = (
         written.groupBy(F.col("output").alias("slug"))
         .agg(F.count_if(statement).alias("n_written"))

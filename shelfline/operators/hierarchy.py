@@ -1,46 +1,49 @@
 """The category tree: closure, chains, roll-ups.
 
-The recursive query runs one Spark job per tree level over (slug, parent_slug) pairs only.
-Spark stops it with an error, never with a short result, at its level and row limits.
+The closure doubles the length of its paths in each round, over (slug, parent_slug) pairs only,
+until a round finds nothing new: a tree of any depth takes as many rounds as its depth has
+binary digits, and a cycle ends like any other path.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import stage
+
 
 def closure(categories: DataFrame) -> DataFrame:
     """(root, slug, depth) for every category and everything below it, itself included."""
-    edges = categories.select("slug", "parent_slug")
-    return categories.sparkSession.sql(
-        """
-        WITH RECURSIVE tree(root, slug, depth) AS (
-            SELECT slug, slug, 0 FROM {edges}
-            UNION ALL
-            SELECT t.root, e.slug, t.depth + 1
-            FROM tree t JOIN {edges} e ON e.parent_slug = t.slug
-        )
-        SELECT root, slug, depth FROM tree
-        """,
-        edges=edges,
+    pairs = categories.select("slug", "parent_slug")
+    itself = pairs.select(F.col("slug").alias("root"), "slug", F.lit(0).alias("depth"))
+    known = pairs.select(F.col("slug").alias("parent_slug"))
+    steps = pairs.join(known, "parent_slug", "left_semi").where("parent_slug <> slug").select(
+        F.col("parent_slug").alias("root"), "slug", F.lit(1).alias("depth")
     )
+    paths = stage(itself.unionByName(steps).distinct())
+    size, before = paths.count(), -1
+    while size != before:
+        low = paths.select(F.col("root").alias("slug"), F.col("slug").alias("end"), F.col("depth").alias("more"))
+        longer = paths.join(low, "slug").select(
+            "root", F.col("end").alias("slug"), (F.col("depth") + F.col("more")).alias("depth")
+        )
+        paths = stage(longer.groupBy("root", "slug").agg(F.min("depth").alias("depth")))
+        size, before = paths.count(), size
+    return paths
+
+
+def cycles(categories: DataFrame) -> DataFrame:
+    """(slug): categories that are their own ancestors."""
+    paths = closure(categories)
+    up = paths.where("root <> slug").select(F.col("slug").alias("root"), F.col("root").alias("slug"))
+    looped = paths.join(up, ["root", "slug"], "left_semi").select(F.col("root").alias("slug"))
+    own = categories.where("slug = parent_slug").select("slug")
+    return looped.unionByName(own).distinct()
 
 
 def subtree(categories: DataFrame, slug: str) -> DataFrame:
     """(slug, depth) of one category and everything below it."""
-    return categories.sparkSession.sql(
-        """
-        WITH RECURSIVE tree(slug, depth) AS (
-            SELECT slug, 0 FROM {edges} WHERE slug = :top
-            UNION ALL
-            SELECT e.slug, t.depth + 1
-            FROM tree t JOIN {edges} e ON e.parent_slug = t.slug
-        )
-        SELECT slug, depth FROM tree
-        """,
-        args={"top": slug},
-        edges=categories.select("slug", "parent_slug"),
-    )
+    return closure(categories).where(F.col("root") == slug).select("slug", "depth")
 
 
 def ancestors(categories: DataFrame) -> DataFrame:
@@ -72,11 +75,19 @@ def direct_counts(categories: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def subtree_products(categories: DataFrame, products: DataFrame) -> DataFrame:
-    """(root, products' columns): each product once per category that holds it, at any depth."""
+    """(root, products' columns): each product once per category that holds it, at any depth.
+
+    Products of unknown categories are in no subtree; ``orphans`` has them.
+    """
     tree = closure(categories).select("root", F.col("slug").alias("category_slug"))
     return products.join(tree, "category_slug")
 
 
+def orphans(categories: DataFrame, products: DataFrame) -> DataFrame:
+    """Products whose category is not in the table."""
+    return products.join(categories.select(F.col("slug").alias("category_slug")), "category_slug", "left_anti")
+
+
 def rollup(categories: DataFrame, products: DataFrame) -> DataFrame:
     """Per category: categories, outputs and products in its subtree.
 

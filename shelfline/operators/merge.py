@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import blank_to_null, normalize_slug
 from ..schemas import BRAND, CATEGORY, PRODUCT, PRODUCT_DEFAULTS, SPARSE_PRODUCT_COLUMNS
+from ..session import stage
 from .stats import side_by_side
 
 REFERENCES = ("category_name", "brand_name")
@@ -243,7 +244,7 @@ def merge_products(current: DataFrame, categories: DataFrame, brands: DataFrame,
     cat_names = resolve_names(categories, distinct_names(batch, "category_name", order))
     brand_names = resolve_names(brands, distinct_names(batch, "brand_name", order))
 
-    one = collapse_products(batch, order, sparse)
+    one = stage(collapse_products(batch, order, sparse))  # the merge and the rejects need it
     dense = [c for c in one.schema["last"].dataType.names if c != "o"]
     cats = cat_names.select(F.col("name").alias("category"), F.col("slug").alias("category_slug"))
     labels = brand_names.select(F.col("name").alias("brand"), F.col("slug").alias("brand_slug"))

@@ -21,7 +21,7 @@ def _flag_kind(dtype: T.DataType) -> str:
 def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> DataFrame:
     """Normalized product rows; a column the input lacks counts as absent in every row.
 
-    All texts go through one array expression, so the plan holds the text rule once.
+    All texts that are there go through one array expression, so the plan holds the text rule once.
     """
     types = {f.name: f.dataType for f in raw.schema}
 
@@ -30,8 +30,10 @@ def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> Dat
             return F.lit(None).cast("string"), True
         return F.col(name), numbers.is_text(types[name])
 
+    given = [name for name in _TEXTS if name in types]
     out: dict[str, Column] = {
-        **{name: F.get("_texts", i) for i, name in enumerate(_TEXTS)},
+        **{name: F.lit("") for name in _TEXTS},
+        **{name: F.get("_texts", i) for i, name in enumerate(given)},
         **{name: fields.normalize_url(col(name)[0]) for name in _URLS},
     }
     for name in ("price", "original_price"):
@@ -46,9 +48,10 @@ def normalize_products(raw: DataFrame, *keep: str, locale: str = "plain") -> Dat
     out["images"] = fields.normalize_images(col("images")[0], is_list)
     for name in _FLAGS:
         out[name] = fields.normalize_boolean(col(name)[0], _flag_kind(types.get(name, T.StringType())))
-    lists = raw.select(
-        "*", text.normalize_texts([col(n)[0].cast("string") for n in _TEXTS]).alias("_texts")
-    )
+    lists = raw
+    if given:
+        texts = text.normalize_texts([F.col(n).cast("string") for n in given])
+        lists = raw.select("*", texts.alias("_texts"))
     return lists.select(*keep, *[out[name].alias(name) for name in NORMALIZED_PRODUCT])
 
 

@@ -2,16 +2,16 @@
 
 Pages are wide, everything taken from them is narrow. So pages are filtered, parsed and
 reduced to rows where they are read, and only those rows are shuffled. Each set of extracted
-rows is written once (``cut_lineage``) because several results are built from it.
+rows is written once (``stage``) because several results are built from it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.fields import absolute_url
 from ..functions.text import normalize_slug
@@ -23,9 +23,10 @@ from ..operators.listing import (
 )
 from ..operators.normalize import normalize_categories, normalize_products
 from ..operators.quality import split_valid
-from ..operators.stats import side_by_side
-from ..session import cut_lineage, small_side
+from ..operators.stats import catalog_stats, side_by_side
+from ..session import small_side, stage, staging_scope
 from ..sources.catalog import CatalogStore, Snapshot
+from ..sources.pages import latest_versions
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ class Refresh:
     merged: merge.ProductMerge
     invalid: DataFrame
     stats: DataFrame
-    dumps: Callable[[], DataFrame] | None = None
+    dumps: Callable[[Snapshot], DataFrame] | None = None
 
 
 def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
@@ -63,8 +64,8 @@ def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
     ).select("page_id", "html", "k.listing_url", "k.page_no")
     wanted = small_side(targets.select("listing_url").distinct())
     mine = keyed.join(wanted, "listing_url", "left_semi")
-    docs = with_document(mine).withColumn("has_next", has_next_page(scope()))
-    rows = cut_lineage(listing_products(
+    docs = with_document(mine, rules.cards).withColumn("has_next", has_next_page(scope()))
+    rows = stage(listing_products(
         docs, rules.base, "page_id", "listing_url", "page_no", "has_next", rules=rules.cards
     ))
     per_page = rows.groupBy("listing_url", "page_no").agg(
@@ -76,20 +77,21 @@ def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
     )
 
 
-def may_show_product(html: Column) -> Column:
-    """Pages with neither a main heading nor linked data cannot give a product name."""
-    return html.rlike("(?i)<h1|ld\\+json")
-
-
 def detail_rows(pages: DataFrame, rules: ShopRules, wanted: DataFrame | None = None) -> DataFrame:
     """Product rows of product pages; ``wanted(url)`` narrows the pages before they are parsed.
 
     Leave ``wanted`` out where most pages are wanted: then rows, not pages, are joined later.
     """
-    some = pages.where(may_show_product(F.col("html")))
     if wanted is not None:
-        some = some.join(small_side(wanted.select("url").distinct()), "url", "left_semi")
-    return product_detail(with_document(some), rules.base, "url", rules=rules.detail)
+        pages = pages.join(small_side(wanted.select("url").distinct()), "url", "left_semi")
+    docs = with_document(pages, rules.detail)
+    return product_detail(docs, rules.base, "url", rules=rules.detail)
+
+
+def current_pages(pages: DataFrame) -> DataFrame:
+    """One page per address. Where none landed twice, the pages as they are: nothing is shuffled."""
+    repeated = pages.groupBy("url").count().where("count > 1")
+    return pages if repeated.isEmpty() else stage(latest_versions(pages))
 
 
 def process_batch(current: Snapshot, categories: DataFrame, raw: DataFrame, now: Column,
@@ -97,18 +99,24 @@ def process_batch(current: Snapshot, categories: DataFrame, raw: DataFrame, now:
                   validate: bool = True) -> tuple[merge.ProductMerge, DataFrame]:
     """Normalize, validate and merge raw rows with columns ``pos`` and, optionally, ``source``.
 
+    A row is a stored product's if it has its slug or else its address; where that is unclear
+    the row is handed back with the rejected ones.
+
     ``assign_source`` names a row without a category after the listing it came from.
     """
     if on_missing_category not in ("reject", "assign_source"):
         raise ValueError(f"unknown policy: {on_missing_category}")
     keep = ["pos", *(["source"] if "source" in raw.columns else [])]
-    rows = cut_lineage(normalize_products(raw, *keep, locale=locale))
-    good, bad = split_valid(rows) if validate else (rows, rows.limit(0).withColumn("reason", F.lit("")))
+    rows = stage(normalize_products(raw, *keep, locale=locale))
+    good, bad = split_valid(rows) if validate else (rows, None)
+    bad = bad if bad is None or "source" not in keep else bad.drop("source")
     if on_missing_category == "assign_source":
         good = merge.assign_source_category(good, "source")
     if "source" in keep:
         good = good.drop("source")
-    return merge.merge_products(current.products, categories, current.brands, good, now), bad
+    good, unclear = merge.resolve_identity(current.products, good)
+    bad = bad.unionByName(unclear.select(*bad.columns)) if validate else unclear
+    return merge.merge_products(current.products, categories, current.brands, stage(good), now), bad
 
 
 def _numbers(df: DataFrame, **counts: Column) -> DataFrame:
@@ -116,7 +124,7 @@ def _numbers(df: DataFrame, **counts: Column) -> DataFrame:
 
 
 def _result(merged: merge.ProductMerge, invalid: DataFrame, *figures: DataFrame,
-            dumps: Callable[[], DataFrame] | None = None) -> Refresh:
+            dumps: Callable[[Snapshot], DataFrame] | None = None) -> Refresh:
     table = Snapshot(merged.categories.table, merged.brands.table, merged.products.table)
     batch = merged.stats().select(
         (F.col("total") - F.col("errors")).alias("products_processed"),
@@ -132,7 +140,8 @@ def full_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, now: dat
                  skip_details: bool = False, on_missing_category: str = "reject") -> Refresh:
     """Discover categories, walk their listings, read product pages, merge, lay out dumps."""
     at = F.lit(now)
-    found = cut_lineage(discover.discover(pages, rules.base_url, rules.menu))
+    pages = current_pages(pages)
+    found = stage(discover.discover(pages, rules.base_url, rules.menu))
     batch = normalize_categories(found, F.col("at").alias("pos"))
     cats = merge.merge_dimension(current.categories, batch, at)
     visited = discover.limit_categories(found, max_categories, "at")
@@ -153,10 +162,8 @@ def full_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, now: dat
         _numbers(visited, categories_processed=F.count("*")),
         _numbers(listed, products_found=F.count("*")),
     )
-    def dumps() -> DataFrame:
-        return export.dump_lines(
-            merged.categories.table, merged.brands.table, merged.products.table, at
-        )
+    def dumps(stored: Snapshot) -> DataFrame:
+        return export.dump_lines(stored.categories, stored.brands, stored.products, at)
 
     return _result(merged, invalid, *figures, dumps=dumps)
 
@@ -165,19 +172,20 @@ def incremental_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, n
                         since_days: int = 1) -> Refresh:
     """Re-read recently changed products, then take unknown ones from first listing pages."""
     at = F.lit(now)
+    pages = current_pages(pages)
     recent = lookup.modified_since(current.products, F.lit(now - timedelta(days=since_days)))
     addresses = recent.select(absolute_url(rules.base, F.col("url")).alias("url"), "slug")
     reread = detail_rows(pages, rules, addresses).withColumn(
         "pos", F.struct(F.lit(0).alias("phase"), F.col("url").alias("key"))
     )
-    found = cut_lineage(discover.discover(pages, rules.base_url, rules.menu))
+    found = stage(discover.discover(pages, rules.base_url, rules.menu))
     cats = merge.merge_dimension(
         current.categories, normalize_categories(found, F.col("at").alias("pos")), at
     )
     targets = found.select(F.col("full_url").alias("listing_url"), "at")
     listed = listed_products(pages, targets, rules, max_pages=1).join(targets, "listing_url")
     keyed = listed.select("url", normalize_slug(F.col("slug")).alias("slug"), "at", "pos")
-    unknown = cut_lineage(lookup.missing(keyed, current.products).select("url", "at", "pos"))
+    unknown = stage(lookup.missing(keyed, current.products).select("url", "at", "pos"))
     fresh = detail_rows(pages, rules, unknown)
     first = discover.dedupe_first(
         unknown.join(fresh, "url").withColumn("key", normalize_slug(F.col("slug"))), "key", "at", "pos"
@@ -198,6 +206,7 @@ def category_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, slug
                      on_missing_category: str = "reject") -> Refresh:
     """Walk one stored category's listing, without product pages; dump its whole subtree."""
     at = F.lit(now)
+    pages = current_pages(pages)
     mine = current.categories.where(F.col("slug") == slug)
     targets = mine.select(
         absolute_url(rules.base, F.col("url")).alias("listing_url"), F.col("name").alias("source")
@@ -210,32 +219,55 @@ def category_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, slug
     merged, invalid = process_batch(
         current, current.categories, listed, at, on_missing_category, rules.cards.locale
     )
-    def dumps() -> DataFrame:
+    def dumps(stored: Snapshot) -> DataFrame:
         return export.dump_lines(
-            merged.categories.table, merged.brands.table, merged.products.table, at,
-            subtree=True, outputs=mine.select("slug"),
+            stored.categories, stored.brands, stored.products, at, subtree=True,
+            outputs=mine.select("slug"),
         )
 
     return _result(merged, invalid, _numbers(listed, products_found=F.count("*")), dumps=dumps)
 
 
+def export_all_data(spark: SparkSession, snapshot: Snapshot, runs: DataFrame, path: str,
+                    exported_at: datetime) -> DataFrame:
+    """Write schema text, all dumps, their summary and what no dump holds below ``path``.
+
+    Returns the reconciliation of the files written with the tables they came from.
+    """
+    cats, brands, prods = snapshot.categories, snapshot.brands, snapshot.products
+    schema = export.schema_lines(spark).coalesce(1).sortWithinPartitions("seq")
+    schema.select("line").write.mode("overwrite").text(f"{path}/schema")
+    export.write_dumps(export.dump_lines(cats, brands, prods, F.lit(exported_at)), f"{path}/dumps")
+    figures = catalog_stats(cats, brands, prods, runlog.state(runs))
+    summary = export.export_summary(figures, export.export_manifest(cats, prods))
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+    export.export_orphans(cats, prods).write.mode("overwrite").parquet(f"{path}/orphans")
+    return export.reconcile(export.read_dumps(spark, f"{path}/dumps"), cats, prods)
+
+
 def commit_refresh(store: CatalogStore, run_id: str, now: datetime, job, **options) -> Snapshot:
     """Run a job against the store's current snapshot and commit it under ``run_id``.
 
     ``job`` is one of the functions above with pages and rules bound. The run log gets a
-    start and an end event; a job that fails is logged and the error goes on.
+    start and an end event; a job that fails is logged and the error goes on. Dumps are written
+    from the stored tables, and only then does the version become current. A run that is
+    already committed is left alone.
     """
     spark = store.spark
+    if store.has_version(run_id):
+        return store.snapshot(run_id)
     store.append_run(runlog.event(spark, run_id, now, runlog.RUNNING))
     try:
-        result = job(store.current(), now, **options)
-        done = store.commit(run_id, result.snapshot)
-        figures = result.stats.first().asDict()
-        if result.dumps is not None:
-            export.write_dumps(result.dumps(), f"{store.root}/exports/version={run_id}")
+        with staging_scope():
+            result = job(store.current(), now, **options)
+            stored = store.write(run_id, result.snapshot)
+            figures = result.stats.first().asDict()
+            if result.dumps is not None:
+                export.write_dumps(result.dumps(stored), f"{store.root}/exports/version={run_id}")
+            store.publish(run_id)
     except Exception as e:
-        failed = runlog.event(spark, run_id, datetime.now(), runlog.FAILED, errors=str(e)[:2000])
+        failed = runlog.event(spark, run_id, datetime.now(timezone.utc), runlog.FAILED, errors=str(e))
         store.append_run(failed)
         raise
-    store.append_run(runlog.event(spark, run_id, datetime.now(), runlog.COMPLETED, figures))
-    return done
+    store.append_run(runlog.event(spark, run_id, datetime.now(timezone.utc), runlog.COMPLETED, figures))
+    return stored

@@ -1,8 +1,12 @@
-"""Session settings the jobs rely on, and the folder that cuts long lineages."""
+"""Session settings the jobs rely on, and the folder for rows that several results need."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +19,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
 
+_staged: list[tuple[SparkSession, str]] = []
+
 
 def build_session(master: str, app: str = "shelfline", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
@@ -23,19 +29,60 @@ def build_session(master: str, app: str = "shelfline", **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it from there.
+def staging_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's own.
+
+    Jobs on a cluster fail without one. Only a session in one process may go on with a folder
+    of its own, which is removed when the process ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="shelfline-")
+        _staged.append((spark, own))
+        spark.sparkContext.setCheckpointDir(own)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the staging folder and read it from there.
 
-    The folder is the one the cluster names. Only a local session may fall back to a
-    folder of its own; elsewhere a missing setting leaves the plan as it is.
+    What several results are built from is computed once this way; the plan starts anew, with
+    column pruning, pushdown and known sizes, and lost executors cost nothing.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            return df
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
-    return df.checkpoint(eager=True)
+    path = f"{staging_folder(spark)}/staged-{uuid.uuid4().hex}"
+    _staged.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Whatever is staged inside is removed at the end; results must be stored by then."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for spark, path in _staged[before:]:
+            _remove(spark, path)
+        del _staged[before:]
+
+
+@atexit.register
+def _remove_rest() -> None:
+    for spark, path in _staged:
+        try:
+            _remove(spark, path)
+        except Exception:  # the session has ended; nothing is left to ask
+            return
 
 
 def spread(df: DataFrame) -> DataFrame:

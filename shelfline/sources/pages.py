@@ -8,11 +8,19 @@ from ..schemas import PAGE
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """``page_id, url, html`` from parquet, ORC, JSON or CSV files."""
+    """``page_id, url, html`` from parquet, ORC, JSON or CSV files, which may tell ``landed_at``.
+
+    JSON and CSV files are read by the fixed columns; the self-describing formats keep a
+    ``landed_at`` they have.
+    """
+    if fmt in ("parquet", "orc"):
+        table = spark.read.format(fmt).load(path)
+        kept = ["page_id", "url", "html", *(["landed_at"] if "landed_at" in table.columns else [])]
+        return table.select(*kept)
     reader = spark.read.format(fmt).schema(PAGE)
     if fmt == "csv":
         reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
-    return reader.load(path).select("page_id", "url", "html")
+    return reader.load(path)
 
 
 def read_html_files(spark: SparkSession, path: str, base_url: str) -> DataFrame:
@@ -24,6 +32,7 @@ def read_html_files(spark: SparkSession, path: str, base_url: str) -> DataFrame:
         F.xxhash64(below).alias("page_id"),
         F.concat(F.lit(base_url.rstrip("/")), F.regexp_replace(below, r"\.html?$", "")).alias("url"),
         F.decode("content", "UTF-8").alias("html"),
+        F.col("modificationTime").alias("landed_at"),
     )
 
 
@@ -36,6 +45,16 @@ def stream_pages(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def latest_versions(pages: DataFrame) -> DataFrame:
-    """Latest landing of each address. The aggregate combines on the map side."""
-    newest = F.max(F.struct("page_id", "html")).alias("p")
-    return pages.groupBy("url").agg(newest).select("p.page_id", "url", "p.html")
+    """One page per address: the one that landed last.
+
+    The order is ``landed_at`` where the table has it, then ``page_id``, then the content's
+    hash. Winners are found on these narrow columns; then the pages meet them, so no markup
+    goes through an aggregate. Rows landed twice with all of that equal are the same page.
+    """
+    order = [c for c in ("landed_at", "page_id") if c in pages.columns]
+    marked = pages.withColumn("_hash", F.xxhash64("html"))
+    key = F.struct(*order, "_hash")
+    winners = marked.groupBy("url").agg(F.max(key).alias("w"))
+    same = [F.col("p.url").eqNullSafe(F.col("w.url")), F.struct(*[F.col(f"p.{c}") for c in (*order, "_hash")]).eqNullSafe(F.col("w.w"))]
+    won = marked.alias("p").join(winners.alias("w"), same, "left_semi")
+    return won.dropDuplicates(["url"]).drop("_hash")

@@ -383,7 +383,9 @@ ORACLES: dict[str, str] = {
         CASE WHEN p.slug IS NULL THEN 'created' ELSE 'updated' END AS change FROM one o LEFT JOIN prods p ON o.slug = p.slug""",
     # Hierarchy and joins
     "products_enriched": f"""WITH {CATS}, {PRODS}, {BRANDS} SELECT p.slug, category_slug, c.name AS category_name, brand_slug, b.name AS brand_name
-      FROM prods p JOIN cats c ON p.category_slug = c.slug LEFT JOIN brands b ON p.brand_slug = b.slug""",
+      FROM prods p LEFT JOIN cats c ON p.category_slug = c.slug LEFT JOIN brands b ON p.brand_slug = b.slug""",
+    "export_orphans": f"""WITH {CATS}, {PRODS} SELECT category_slug, count(*) AS n_products FROM prods
+      WHERE category_slug NOT IN (SELECT slug FROM cats WHERE slug NOT LIKE 'nation_3-%') GROUP BY category_slug""",
     "brands_of_category": f"WITH {PRODS}, {BRANDS} SELECT slug, name FROM brands WHERE slug IN (SELECT brand_slug FROM prods WHERE category_slug = 'nation_3')",
     "subtree_products": f"WITH RECURSIVE {CATS}, {PRODS}, {TREE} SELECT root, p.slug, category_slug FROM prods p JOIN tree t ON t.slug = p.category_slug",
     "direct_products": f"WITH {COUNTS} SELECT slug, n_products FROM direct",

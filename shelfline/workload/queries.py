@@ -13,7 +13,7 @@ from ..operators import (
     detail, discover, export, hierarchy, listing, lookup, merge, normalize, quality, runlog, stats,
 )
 from ..plans import refresh
-from ..session import cut_lineage, spread
+from ..session import spread, stage
 from ..sources.catalog import Snapshot
 from ..sources.pages import read_pages
 from . import shop, tables as t
@@ -535,10 +535,9 @@ def validate_products(spark, d):
 
 @query
 def quarantine_split(spark, d):
-    # Both halves read the normalized rows, so those are written once.
-    rows = cut_lineage(normalize.normalize_products(raw_feed(spark, d), "pos"))
-    good, bad = quality.split_valid(rows)
-    return good.select("pos", F.lit("").alias("reason")).unionByName(bad.select("pos", "reason"))
+    # Which half a row goes to is a column of one pass.
+    checked = quality.validate(normalize.normalize_products(raw_feed(spark, d), "pos"))
+    return checked.select("pos", F.array_join("validation.errors", "; ").alias("reason"))
 
 
 @query
@@ -812,6 +811,13 @@ def export_reconcile(spark, d):
     return export.reconcile(dumps(spark, d), t.categories(spark, d), t.products(spark, d))
 
 
+@query
+def export_orphans(spark, d):
+    """Parts whose category the tree has lost: here all below one nation."""
+    cats = t.categories(spark, d).where("slug NOT LIKE 'nation_3-%'")
+    return export.export_orphans(cats, t.products(spark, d))
+
+
 # Whole jobs -----------------------------------------------------------------------------
 
 
@@ -831,7 +837,7 @@ def known_parts(spark, d) -> Snapshot:
 
 def landed(spark, d) -> DataFrame:
     """The shop's pages, written out as a crawler would have landed them."""
-    return cut_lineage(shop.shop_pages(spark, d))
+    return stage(shop.shop_pages(spark, d))
 
 
 @query
@@ -868,7 +874,7 @@ def incremental_refresh(spark, d):
 @query
 def category_refresh(spark, d):
     out = refresh.category_refresh(
-        cut_lineage(shop.listing_pages(spark, d)), _shop_snapshot(spark, d), shop.RULES, "nation_3", NOW,
+        stage(shop.listing_pages(spark, d)), _shop_snapshot(spark, d), shop.RULES, "nation_3", NOW,
         on_missing_category="assign_source",
     )
     return out.merged.products.rows.where("change <> 'untouched'").select(

@@ -16,7 +16,7 @@ from shelfline.streaming.ingest import ingest
 from shelfline.workload import shop, tables as t
 
 NOW, LATER = datetime(2024, 1, 1), datetime(2024, 1, 2)
-LD = """<html><script type="application/ld+json">{"@type":"Product","name":"%s","brand":"Br","category":"Son",
+LD = """<html><script type="application/ld+json">{"@type":"Product","name":"%s","brand":"Ash","category":"Decor",
 "offers":{"price":%s}}</script></html>"""
 
 
@@ -109,7 +109,7 @@ def test_ids_do_not_collide(spark):
     assert export.id_collisions(t.offers(spark, SMALL)).count() == 0
 
 
-@pytest.mark.parametrize("depth", [1, 6, 40])
+@pytest.mark.parametrize("depth", [1, 6, 150])
 def test_closure_of_a_chain(spark, depth):
     rows = [(f"n{i}", f"n{i}", "/", f"n{i - 1}" if i else None, "", NOW, NOW) for i in range(depth)]
     chain = spark.createDataFrame(rows + [("o", "orphan", "/", "gone", "", NOW, NOW)], CATEGORY)
@@ -118,6 +118,43 @@ def test_closure_of_a_chain(spark, depth):
     assert [r.slug for r in hierarchy.roots(chain).collect()] == ["n0"]
 
 
+def test_cycles_end_and_are_reported(spark):
+    rows = [(s, s, "/", p, "", NOW, NOW) for s, p in (("a", "c"), ("b", "a"), ("c", "b"), ("d", "a"), ("e", "e"), ("f", None))]
+    loop = spark.createDataFrame(rows, CATEGORY)
+    assert {r.slug for r in hierarchy.cycles(loop).collect()} == {"a", "b", "c", "e"}
+    assert hierarchy.closure(loop).where("root = 'a'").count() == 4
+
+
+def test_pages_landed_twice_count_once(spark, tmp_path):
+    card = "<div class='product'><h3><a href='/p/%s'>%s</a></h3><b class='price'>%s</b></div>"
+    menu = "<div class='navbar'><a href='/c/all'>All</a></div>"
+    rows = [
+        (9, "https://s/", menu, LATER), (1, "https://s/", "<p>old</p>", NOW),
+        (2, "https://s/c/all", card % ("zeta", "Zeta old", 1), NOW), (3, "https://s/c/all", card % ("zeta", "Alpha new", 2), LATER),
+        (4, "https://s/p/zeta", LD % ("Zeta old", 1), NOW), (5, "https://s/p/zeta", LD % ("Alpha new", 2), LATER),
+        (5, "https://s/p/zeta", LD % ("Alpha new", 2), LATER),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, landed_at timestamp")
+    store = CatalogStore(spark, str(tmp_path))
+    out = refresh.full_refresh(pages, store.current(), refresh.ShopRules("https://s"), NOW)
+    assert [(r["name"], r.price) for r in out.snapshot.products.collect()] == [("Alpha new", 2.0)]
+    figures = out.stats.first()
+    assert (figures.products_found, figures.products_processed, figures.products_created, figures.products_updated) == (1, 1, 1, 0)
+
+
+def test_export_of_everything(spark, tmp_path):
+    cats = t.categories(spark, SMALL).where("slug NOT LIKE 'nation_3-%'")
+    snapshot = refresh.Snapshot(cats, t.brands(spark, SMALL), t.products(spark, SMALL))
+    result = refresh.export_all_data(spark, snapshot, t.runs(spark, SMALL), str(tmp_path), NOW)
+    assert result.where("NOT is_valid").count() == 0 and result.where("is_valid").count() > 0
+    held = result.agg(F.sum("n_written")).first()[0]
+    lost = spark.read.parquet(f"{tmp_path}/orphans").agg(F.sum("n_products")).first()[0]
+    assert held + (lost or 0) == snapshot.products.count()
+    text = "\n".join(p.read_text() for p in sorted((tmp_path / "schema").glob("part-*")))
+    assert text.count("CREATE TABLE") == len(TABLES)
+    assert spark.read.json(f"{tmp_path}/summary").first().exported_products == held
+
+
 def test_retention(spark):
     events = runlog.event(spark, "a", datetime(2024, 1, 1), "running").union(
         runlog.event(spark, "a", datetime(2024, 3, 1), "completed")).union(

@@ -5,8 +5,11 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 from conftest import SMALL
+from shelfline.workload.oracles import ORACLES
+from shelfline.workload.queries import QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+#: Queries that rightly find nothing in the small tables.
+MAY_BE_EMPTY: frozenset[str] = frozenset()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +23,8 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    assert compare(spark, con, QUERIES[name], ORACLES[name], SMALL) in ("", "no rows")
+    found = compare(spark, con, QUERIES[name], ORACLES[name], SMALL)
+    assert found == "" or (found == "no rows" and name in MAY_BE_EMPTY)
 
 
 def test_entry(spark):
