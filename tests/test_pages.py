@@ -30,7 +30,7 @@ KETTLE = """<html><main class="product-details"><h1>Pot</h1><h1 class="product-n
 <table><tr><td>Hãng sản xuất</td><td>Foundry</td></tr><tr><td>Code</td><td>ci-2</td></tr><tr><td>alone</td></tr></table>
 <div class="product-rating"><i class="fa-star"></i><i class="star filled"></i><i class="fa-star"></i></div>
 <span class="total-reviews">58 notes</span><p>open <p>still open
-<div class="image-gallery"><img data-src="k1.jpg"><img src="/k2.jpg"></div><div class="product-images"><img src="k1.jpg"></div>
+<div class="image-gallery"><img data-src="/k1.jpg"><img src="/k2.jpg"></div><div class="product-images"><img src="/k1.jpg"></div>
 <a class="btn-add-cart">take it</a><span class="badge">Bán chạy</span><div class="how-to-use">Rinse, dry.</div></main></html>"""
 
 LINKED = """<html><h1>Shown elsewhere</h1><script type="application/ld+json">[1,</script>
