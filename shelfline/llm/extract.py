@@ -268,6 +268,7 @@ def main_text(pages: DataFrame, min_pages: int = 10, min_share: float = 0.1) ->
         "host", F.xxhash64("page_id", "url", "body").alias("key"), F.explode(F.array_distinct(F.flatten("paths"))).alias("subtree")
     )
     gone = held.join(found, ["host", "subtree"], "left_semi").groupBy("key").agg(F.collect_set("subtree").alias("gone"))
+    gone = stage(gone, "gone")  # of known size: where few pages lose something, no text is shuffled
     both = rows.withColumn("key", F.xxhash64("page_id", "url", "body")).join(gone, "key", "left")
     left = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(F.transform(
         F.filter(F.arrays_zip("texts", "paths"), lambda b: ~F.arrays_overlap(b["paths"], F.col("gone"))),
