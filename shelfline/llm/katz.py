@@ -37,23 +37,44 @@ from .common import documents, stage
 K = 5  # the largest count that is discounted
 HOT = 0.001
 START, END = 1, 2
-BLOCK_WORDS = 2_000_000
-BUCKET_TOKENS = 2_000_000
-CACHE_WORDS = 300_000
+BLOCK_WORDS = 1_500_000
+BUCKET_TOKENS = 1_000_000
+CACHE_WORDS = 200_000
 TABLE = "kind string, bucket long, block long, payload binary, ids array<long>"
 
 
+def _small(a: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the narrowest type that holds them."""
+    if a.dtype.kind not in "iu" or not len(a) or a.min() < 0:
+        return a
+    return a.astype(np.min_scalar_type(int(a.max())))
+
+
 def freeze(**arrays: np.ndarray) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(a) for a in arrays.values()], [*arrays])
+    """Arrays of any lengths as one compressed value."""
+    rows = [(k, (v := np.ascontiguousarray(_small(np.asarray(a)))).dtype.str, v.tobytes()) for k, a in arrays.items()]
+    columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.binary()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["name", "type", "data"])
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
 def thaw(payload: bytes) -> dict[str, np.ndarray]:
-    table = pa.ipc.open_stream(payload).read_all()
-    return {n: table[n].to_numpy() for n in table.column_names}
+    """The arrays of ``freeze``; whole numbers as 64-bit ones."""
+    out = {}
+    for row in pa.ipc.open_stream(payload).read_all().to_pylist():
+        a = np.frombuffer(row["data"], row["type"])
+        out[row["name"]] = a.astype(np.int64) if a.dtype.kind in "iu" else a
+    return out
+
+
+def _runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and lengths of the runs of equal values."""
+    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.empty(0, np.int64)
+    return a[first], np.diff(np.r_[first, len(a)])
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -163,14 +184,14 @@ def hot_words(train: DataFrame, share: float = HOT) -> tuple[Hot, int]:
     return Hot(words, counts, pairs[:, 0].copy(), pairs[:, 1].copy()), total
 
 
-def _sums(doc: np.ndarray, n_docs: int, r: np.ndarray, cw: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
+def _sums(doc: np.ndarray, n_docs: int, r: np.ndarray, cw: np.ndarray) -> dict[str, np.ndarray]:
     """Per document: what its tokens add, apart from the discounts. ``r`` is c(v,w), ``cw`` c(w)."""
     base = np.log10(cw + 1)
-    rest = np.where(r > K, np.log10(np.maximum(r, 1)), 0) - np.where(w != END, base, 0)
-    out = {"base": np.bincount(doc, base, n_docs), "rest": np.bincount(doc, rest, n_docs),
-           "known": np.bincount(doc, cw > 0, n_docs).astype(np.int32)}
+    often = np.where(r > K, np.log10(np.maximum(r, 1)), 0)
+    out = {"base": np.bincount(doc, base, n_docs), "often": np.bincount(doc, often, n_docs),
+           "known": np.bincount(doc, cw > 0, n_docs).astype(np.int64)}
     for k in range(1, K + 1):
-        out[f"h{k}"] = np.bincount(doc, r == k, n_docs).astype(np.int32)
+        out[f"h{k}"] = np.bincount(doc, r == k, n_docs).astype(np.int64)
     return out
 
 
@@ -185,25 +206,26 @@ def _dealt(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
             out = np.array(held, bool)
             both = (hw >= 0) & (hv >= 0)
             r, cw = hot.pair_count(hv[both], hw[both]), hot.counts[hw[both]]
-            sums = _sums(doc[both], len(ids), r, cw, tokens[both])
-            first = hot.counts[np.searchsorted(hot.words, START)]
-            sums["rest"] = sums["rest"] - np.log10(first + 1)
+            sums = _sums(doc[both], len(ids), r, cw)
             new = np.flatnonzero(r == 0)
-            rows = [("docs", number % buckets, freeze(n=lengths.astype(np.int64), held=out), ids),
-                    ("stat", number % buckets, freeze(doc=np.arange(len(ids), dtype=np.int32), **sums), None)]
+            rows = [("docs", number % buckets, freeze(n=lengths, held=out), ids),
+                    ("stat", number % buckets, freeze(doc=np.arange(len(ids)), **sums), None)]
             if len(new):
                 rows.append(("unseen", number % buckets, freeze(
-                    doc=doc[both][new].astype(np.int32), v=before[both][new], cw=cw[new]), None))
+                    doc=doc[both][new], v=before[both][new], cw=cw[new]), None))
             left = np.flatnonzero(~both)
             key = np.where(hw[left] < 0, tokens[left], before[left])
             bucket = (key >> 20) % buckets
-            order = np.lexsort((tokens[left], bucket))
+            del hw, hv, both, r, cw, key
+            order = np.lexsort((doc[left], tokens[left], bucket))
             left, bucket = left[order], bucket[order]
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(left) else []
             for a, b in zip(cuts, [*cuts[1:], len(left)]):
                 at = left[a:b]
+                w, n = _runs(tokens[at])
+                v, place = np.unique(before[at], return_inverse=True)
                 rows.append(("tokens", int(bucket[a]), freeze(
-                    w=tokens[at], v=before[at], doc=doc[at].astype(np.int32), train=~out[doc[at]]), None))
+                    w=w, n=n, v=v, place=place, doc=doc[at], train=np.packbits(~out)), None))
             for i in range(0, len(rows), 16):
                 part = rows[i:i + 16]
                 yield pa.RecordBatch.from_arrays([
@@ -218,10 +240,10 @@ def _dealt(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
 
 def _settle(bucket: int, parts: list[tuple[int, dict]], hot: Hot) -> Iterator[tuple]:
     """All tokens of a bucket: count them, and turn them into tables and sums per document."""
-    w = np.concatenate([p["w"] for _, p in parts])
-    v = np.concatenate([p["v"] for _, p in parts])
-    train = np.concatenate([p["train"] for _, p in parts])
-    sizes = [len(p["w"]) for _, p in parts]
+    w = np.concatenate([np.repeat(p["w"], p["n"]) for _, p in parts])
+    v = np.concatenate([p["v"][p["place"]] for _, p in parts])
+    train = np.concatenate([np.unpackbits(p["train"].astype(np.uint8))[p["doc"]] for _, p in parts])
+    sizes = [len(p["doc"]) for _, p in parts]
     order = np.lexsort((v, w))
     w_, v_ = w[order], v[order]
     fresh_w = np.r_[True, w_[1:] != w_[:-1]]
@@ -229,6 +251,7 @@ def _settle(bucket: int, parts: list[tuple[int, dict]], hot: Hot) -> Iterator[tu
     group = np.empty(len(w), np.int64)
     group[order] = np.cumsum(fresh) - 1
     gw, gv = w_[fresh], v_[fresh]
+    del w, w_, v_, order
     c2 = np.bincount(group, train, len(gw)).astype(np.int64)
     word = np.cumsum(fresh_w[fresh]) - 1
     uw = gw[fresh_w[fresh]]
@@ -239,17 +262,18 @@ def _settle(bucket: int, parts: list[tuple[int, dict]], hot: Hot) -> Iterator[tu
     cg = c1[word]
     seen = c2 > 0
     yield "unigrams", bucket, freeze(w=uw[own & (c1 > 0)], n=c1[own & (c1 > 0)])
-    yield "bigrams", bucket, freeze(w=gw[seen], v=gv[seen], n=c2[seen].astype(np.int32), cw=cg[seen])
+    own_w, n_w = _runs(gw[seen])
+    yield "bigrams", bucket, freeze(w=own_w, n_w=n_w, v=gv[seen], n=c2[seen], cw=cg[seen])
     begin = 0
     r, cw = c2[group], cg[group]
     for (block, p), size in zip(parts, sizes):
         mine = slice(begin, begin + size)
         begin += size
         docs, dense = np.unique(p["doc"], return_inverse=True)
-        yield "stat", block, freeze(doc=docs.astype(np.int32), **_sums(dense, len(docs), r[mine], cw[mine], p["w"]))
+        yield "stat", block, freeze(doc=docs, **_sums(dense, len(docs), r[mine], cw[mine]))
         new = np.flatnonzero(r[mine] == 0)
         if len(new):
-            yield "unseen", block, freeze(doc=p["doc"][new].astype(np.int32), v=p["v"][new], cw=cw[mine][new])
+            yield "unseen", block, freeze(doc=p["doc"][new], v=v[mine][new], cw=cw[mine][new])
 
 
 def _tables(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
@@ -355,7 +379,7 @@ def _contexts(table: DataFrame, model: Model, wanted: bytes, slots: int) -> Data
             for payload in batch["payload"].to_pylist():
                 p = thaw(payload)
                 keep = bits[(p["v"] >> 8) % slots]
-                yield batch_of(p["v"][keep], p["n"][keep].astype(np.int64), p["cw"][keep])
+                yield batch_of(p["v"][keep], p["n"][keep], p["cw"][keep])
 
     schema = "v long, n double, mass double, below double"
     rows = table.where("kind = 'bigrams'").select("payload").mapInArrow(run, schema)
@@ -385,6 +409,8 @@ def _unseen(table: DataFrame, model: Model) -> DataFrame:
 
 def _per_document(table: DataFrame, model: Model) -> DataFrame:
     """Sums over all buckets, one row per document."""
+    hot = model.hot
+    start, end = (float(np.log10(hot.counts[np.searchsorted(hot.words, m)] + 1)) for m in (START, END))
     logs = [float(np.log10(max(model.bi[r] * r, 1e-300))) for r in range(K + 1)]
     per_token = float(np.log10(model.tokens + model.words + 1))
 
@@ -395,7 +421,8 @@ def _per_document(table: DataFrame, model: Model) -> DataFrame:
                 "block": np.full(len(n), now), "doc": np.arange(len(n), dtype=np.int32), "doc_id": pa.array(ids, pa.int64()),
                 "held_out": head["held"], "n_tokens": n, "n_known": sums["known"].astype(np.int64),
                 "base_score": sums["base"] - per_token * n,
-                "seen": sums["rest"] + sum(logs[k] * sums[f"h{k}"] for k in range(1, K + 1)),
+                # each token's context has its count in the denominator: the start, and all but the end
+                "seen": sums["often"] - (sums["base"] - end + start) + sum(logs[k] * sums[f"h{k}"] for k in range(1, K + 1)),
             })
 
         now, ids, head, sums = None, None, None, None
@@ -405,7 +432,7 @@ def _per_document(table: DataFrame, model: Model) -> DataFrame:
                     if head is not None:
                         yield close(ids, head, sums)
                     now, ids, head = row["block"], row["ids"], thaw(row["payload"])
-                    sums = {k: np.zeros(len(ids)) for k in ("base", "rest", "known", *(f"h{i}" for i in range(1, K + 1)))}
+                    sums = {k: np.zeros(len(ids)) for k in ("base", "often", "known", *(f"h{i}" for i in range(1, K + 1)))}
                     continue
                 p = thaw(row["payload"])
                 for k, total in sums.items():
