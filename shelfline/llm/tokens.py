@@ -16,7 +16,7 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker per core
 
-CACHE_WORDS = 400_000  # memory bound of a worker; a full cache starts anew
+CACHE_WORDS = 500_000  # memory bound of a worker; a full cache starts anew
 CACHE_BYTES = 64  # longer words are encoded each time
 PLAIN = regex.compile(r"[!-~¡-į]*")  # code points that need no Unicode normalisation
 
@@ -74,21 +74,26 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, raw: bytes) -> bytes:
+        if raw.isalpha():  # ASCII letters: one pre-token
+            return np.array([t.id for t in self.model.tokenize(raw.lower().decode())], "<u4").tobytes()
+        if raw[:-1].isalpha() and raw[-1] in b".,":
+            return self._word(raw[:-1]) + self._piece(chr(raw[-1]))
+        word = raw.decode()
         if self.split.marks.search(word) or not PLAIN.fullmatch(word):
             ids = self.split.tokenizer.encode(word, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
-        known, out = self.known, []
-        for piece in self.split.pieces(word):
-            ids = known.get(piece)
-            if ids is None:
-                ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-                if len(piece) <= CACHE_BYTES:
-                    if len(known) >= CACHE_WORDS:
-                        known.clear()
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([*map(self._piece, self.split.pieces(word))])
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+            if len(piece) <= CACHE_BYTES:
+                if len(self.known) >= CACHE_WORDS // 4:
+                    self.known.clear()
+                self.known[piece] = ids
+        return ids
 
     def encode(self, text: bytes) -> bytes:
         if not self.split.by_word:
@@ -103,7 +108,7 @@ class Encoder:
         for word in words:
             ids = cache.get(word)
             if ids is None:
-                ids = self._word(word.decode())
+                ids = self._word(word)
                 if len(word) <= CACHE_BYTES:
                     if len(cache) >= CACHE_WORDS:
                         cache.clear()
