@@ -229,6 +229,18 @@ ORACLES: dict[str, str] = {
         SELECT pos, CASE WHEN is_sale THEN 'x-' || slug ELSE slug END AS slug, url FROM batch)
       SELECT b.pos, b.slug, b.url, coalesce(s.slug, u.slug) AS match_slug FROM b
       LEFT JOIN stored s ON b.slug = s.slug LEFT JOIN stored u ON b.url = u.url""",
+    "merge_by_url": f"""WITH {OFFERS}, {STORED}, b AS (
+        SELECT pos, CASE WHEN is_sale THEN 'x-' || slug ELSE slug END AS slug, url FROM batch),
+      m AS (SELECT b.pos, b.slug, b.url, coalesce(s.slug, u.slug, b.slug) AS target, u.slug AS owner FROM b
+        LEFT JOIN stored s ON b.slug = s.slug LEFT JOIN stored u ON b.url = u.url),
+      r AS (SELECT *, CASE WHEN owner <> target THEN 'url_conflict'
+          WHEN min(slug) OVER (PARTITION BY url) <> max(slug) OVER (PARTITION BY url)
+            OR min(slug) OVER (PARTITION BY target) <> max(slug) OVER (PARTITION BY target)
+            OR (min(slug) OVER (PARTITION BY target) <> target AND min(url) OVER (PARTITION BY target) <> max(url) OVER (PARTITION BY target))
+          THEN 'ambiguous_identity' END AS reason FROM m)
+      SELECT pos, CASE WHEN reason IS NULL THEN target ELSE slug END AS slug, coalesce(reason, '') AS reason FROM r""",
+    "latest_pages": """WITH p AS (SELECT regexp_extract(url, '//([^/]+)', 1) AS url, page_id, page_id * 7 % 11 AS landed_at FROM pages)
+      SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY url ORDER BY landed_at DESC, page_id DESC) = 1""",
     # Extraction from the landed pages
     "page_links": f"WITH {LINKS} SELECT page_id, pos, href, trim(text) AS text FROM links",
     "category_links": f"WITH {NAV} SELECT page_id, pos, name, slug, url, full_url FROM nav",
@@ -334,6 +346,7 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT l_orderkey::VARCHAR, 'order', count(*) FROM lineitem
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey""",
     "unique_audit": f"WITH {OFFERS} SELECT slug, count(*) AS n_rows FROM offers GROUP BY slug HAVING count(*) > 1",
+    "unique_url_audit": f"WITH {OFFERS} SELECT url, count(*) AS n_rows FROM offers GROUP BY url HAVING count(*) > 1",
     "range_audit": """SELECT count(*) FILTER (l_extendedprice - 20000 < 0) AS bad_price, count(*) FILTER (l_extendedprice < 0) AS bad_original_price,
         count(*) FILTER (l_tax * 100 NOT BETWEEN 0 AND 5) AS bad_rating, count(*) FILTER (l_quantity * 3 NOT BETWEEN 0 AND 100) AS bad_discount_percentage,
         count(*) FILTER (l_quantity - 5 < 0) AS bad_review_count FROM lineitem""",

@@ -15,7 +15,7 @@ from ..operators import (
 from ..plans import refresh
 from ..session import spread, stage
 from ..sources.catalog import Snapshot
-from ..sources.pages import read_pages
+from ..sources.pages import read_pages, latest_versions
 from . import shop, tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,24 @@ def match_slug_or_url(spark, d):
     )
 
 
+@query
+def merge_by_url(spark, d):
+    """The slug each feed row belongs to, or why that is unclear."""
+    batch = t.change_batch(spark, d)
+    renamed = F.when(F.col("is_sale"), F.concat(F.lit("x-"), F.col("slug"))).otherwise(F.col("slug"))
+    clear, unclear = merge.resolve_identity(t.stored_offers(spark, d), batch.withColumn("slug", renamed))
+    return clear.select("pos", "slug", F.lit("").alias("reason")).unionByName(unclear.select("pos", "slug", "reason"))
+
+
+@query
+def latest_pages(spark, d):
+    """The last landing of each host, as if every page of a host had landed at one address."""
+    rows = pages(spark, d).withColumn("url", F.regexp_extract("url", "//([^/]+)", 1)).withColumn(
+        "landed_at", F.pmod(F.col("page_id") * 7, F.lit(11))
+    )
+    return latest_versions(rows).select("url", "page_id", "landed_at")
+
+
 # Extraction from the landed pages --------------------------------------------------------
 
 
@@ -561,6 +579,11 @@ def unique_audit(spark, d):
     return quality.repeated_keys(t.offers(spark, d), "slug")
 
 
+@query
+def unique_url_audit(spark, d):
+    return quality.repeated_keys(t.offers(spark, d), "url")
+
+
 @query
 def range_audit(spark, d):
     li = t.table(spark, d, "lineitem")
