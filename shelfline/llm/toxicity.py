@@ -23,6 +23,7 @@ from .common import documents, free_name
 
 EDGES = b".,;:!?\"'()[]{}<>|*&%$#@-_/\\"
 CACHE_WORDS = 150_000
+CHUNK = 50_000  # words whose features are worked out at a time
 
 
 @dataclass(frozen=True)
@@ -38,8 +39,8 @@ class Settings:
     width: int = 6
     hidden: int = 8
     attention: int = 8
-    max_rows: int = 2500
-    bag: int = 8
+    max_rows: int = 2000
+    bag: int = 6
     epochs: int = 4
     batch: int = 48
     rounds: int = 50
@@ -239,14 +240,20 @@ class Sample:
     def __init__(self, bags: list[tuple[int, list[list[bytes]]]], s: Settings):
         numbers: dict[bytes, int] = {}
         windows = [w for _, ws in bags for w in ws]
-        self.index = np.zeros((len(windows), s.window), np.int64)
+        self.index = np.zeros((len(windows), s.window), np.int32)
         self.mask = np.zeros((len(windows), s.window), bool)
         for n, words in enumerate(windows):
             self.index[n, :len(words)] = [numbers.setdefault(w, len(numbers)) for w in words]
             self.mask[n, :len(words)] = True
         self.bag = np.repeat(np.arange(len(bags)), [len(ws) for _, ws in bags])
         self.label = np.array([y for y, _ in bags])
-        self.slots, self.grams, self.at = features([*numbers], s)
+        parts, words = [], [*numbers]
+        del numbers, windows
+        for i in range(0, len(words), CHUNK):
+            slots, grams, at = features(words[i:i + CHUNK], s)
+            parts.append((slots.astype(np.int32), grams.astype(np.int32), np.diff(at)))
+        self.slots, self.grams, size = (np.concatenate(x) for x in zip(*parts))
+        self.at = np.r_[0, np.cumsum(size)]
 
     def words(self, ids: np.ndarray) -> tuple:
         size = self.at[ids + 1] - self.at[ids]
@@ -255,16 +262,21 @@ class Sample:
 
     def texts_with(self, of_word: np.ndarray, owner: np.ndarray, slots: int) -> np.ndarray:
         """How many clean and how many toxic texts have each slot, (2, slots)."""
-        bags = np.repeat(self.bag, self.index.shape[1])[self.mask.ravel()]
-        words = self.index.ravel()[self.mask.ravel()]
-        pairs = np.unique(bags * np.int64(len(self.slots)) + words)
-        bags, words = pairs // len(self.slots), pairs % len(self.slots)
-        first = np.searchsorted(owner, words)
-        size = np.searchsorted(owner, words, "right") - first
-        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        flat = np.unique(np.repeat(bags, size) * slots + of_word[np.repeat(first, size) + inner])
-        toxic = self.label[flat // slots] > 0
-        return np.stack([np.bincount(flat[toxic == t] % slots, minlength=slots) for t in (False, True)])
+        counts = np.zeros((2, slots), np.int64)
+        ends = np.searchsorted(self.bag, np.arange(100, self.bag[-1] + 101, 100))
+        for low, high in zip(np.r_[0, ends[:-1]], ends):  # some texts at a time
+            mask = self.mask[low:high].ravel()
+            bags = np.repeat(self.bag[low:high], self.index.shape[1])[mask]
+            pairs = np.unique(bags * np.int64(len(self.slots)) + self.index[low:high].ravel()[mask])
+            bags, words = pairs // len(self.slots), pairs % len(self.slots)
+            first = np.searchsorted(owner, words)
+            size = np.searchsorted(owner, words, "right") - first
+            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            flat = np.unique(np.repeat(bags, size) * slots + of_word[np.repeat(first, size) + inner])
+            toxic = self.label[flat // slots] > 0
+            for t in (0, 1):
+                counts[t] += np.bincount(flat[toxic == t] % slots, minlength=slots)
+        return counts
 
     def odds(self, counts: np.ndarray, shrink: float) -> np.ndarray:
         """Log odds of toxic texts against their share; what few texts have is drawn to zero."""
@@ -306,16 +318,16 @@ def fit(bags: list[tuple[int, list[list[bytes]]]], s: Settings = Settings()) ->
     for epoch in range(s.epochs):
         if epoch:
             logit = np.empty(len(label), np.float32)
-            everything = (data.slots, data.grams, data.at)
             for y in (0, 1):
                 part = np.flatnonzero(label == y)
-                odds = evidence(everything, np.full(len(data.slots), y == 1))
-                logit[part] = Scorer(net).read_sample(data.index[part], data.mask[part], everything, odds)
+                gates = Scorer(net).gates_of(data, lambda words: evidence(words, np.full(len(words[0]), y == 1)))
+                logit[part] = Scorer(net).read(data.index[part], data.mask[part], gates)
+                del gates
             best = np.lexsort((logit, data.bag))[np.r_[np.diff(data.bag) != 0, True]]
             toxic, hard = best[data.label == 1], best[data.label == 0]
         for _ in range(s.rounds):
             chosen = np.r_[rng.choice(toxic, s.batch), rng.choice(hard, s.batch), rng.choice(clean, s.batch // 2)]
-            marked = 2 * data.index[chosen] + label[chosen][:, None]  # a word of a toxic text is another entry
+            marked = 2 * data.index[chosen].astype(np.int64) + label[chosen][:, None]  # a word of a toxic text is another entry
             ids, index = np.unique(marked.T, return_inverse=True)
             words = data.words(ids // 2)
             _, grads = net.gradients(
@@ -336,7 +348,7 @@ class Scorer:
         self.scale = np.r_[half, half]
         self.u = np.stack([w["uf"] * half, w["ub"] * half])
         self.rows: dict[bytes, int] = {}
-        self.table = np.zeros((2, CACHE_WORDS, 3 * h), np.float32)
+        self.table = np.zeros((2, 0, 3 * h), np.float32)
 
     def _gates(self, words: tuple, odds: tuple | None = None) -> np.ndarray:
         gates = self.net.project(self.net.inputs(words, odds)) * self.scale
@@ -347,6 +359,8 @@ class Scorer:
             return np.array([*map(self.rows.__getitem__, words)], np.int64)
         except KeyError:
             pass
+        if not self.table.shape[1]:
+            self.table = np.zeros((2, CACHE_WORDS, self.table.shape[2]), np.float32)
         fresh = [*set(words).difference(self.rows)]
         for i in range(0, len(fresh), 20_000):
             part = fresh[i:i + 20_000]
@@ -355,10 +369,16 @@ class Scorer:
             self.rows.update(zip(part, range(at, at + len(part))))
         return np.array([*map(self.rows.__getitem__, words)], np.int64)
 
-    def read_sample(self, index: np.ndarray, mask: np.ndarray, words: tuple, odds: tuple) -> np.ndarray:
-        return self._read(index, mask, np.ascontiguousarray(self._gates(words, odds)))
+    def gates_of(self, data: Sample, odds) -> np.ndarray:
+        """Gate inputs of all words of a sample, with the evidence that ``odds`` gives for them."""
+        n = len(data.slots)
+        out = np.empty((2, n, 3 * self.net.settings.hidden), np.float32)
+        for i in range(0, n, CHUNK):
+            words = data.words(np.arange(i, min(i + CHUNK, n)))
+            out[:, i:i + CHUNK] = self._gates(words, odds(words))
+        return out
 
-    def _read(self, windows: np.ndarray, mask: np.ndarray, table: np.ndarray, size: int = 512) -> np.ndarray:
+    def read(self, windows: np.ndarray, mask: np.ndarray, table: np.ndarray, size: int = 512) -> np.ndarray:
         out = np.empty(len(windows), np.float32)
         whole = mask.all(axis=1)
         for rows in (np.flatnonzero(whole), np.flatnonzero(~whole)):
@@ -408,7 +428,7 @@ class Scorer:
 
         def flush() -> None:
             if windows:
-                logits.append(self._read(np.concatenate(windows), np.concatenate(masks), self.table))
+                logits.append(self.read(np.concatenate(windows), np.concatenate(masks), self.table))
                 windows.clear()
                 masks.clear()
 
@@ -467,8 +487,8 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Netwo
             )
 
     rows = clean.mapInArrow(run, "doc_id long, windows array<string>").dropDuplicates(["doc_id"]).collect()
-    bags = sorted((r.doc_id, [w.encode().split() for w in r.windows]) for r in rows)
-    return fit([(chosen[i], windows) for i, windows in bags], s)
+    windows = sorted((r.doc_id, r.windows) for r in rows)
+    return fit([(chosen[i], [w.encode().split() for w in ws]) for i, ws in windows], s)
 
 
 def held_out(doc_id: Column) -> Column:
