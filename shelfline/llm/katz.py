@@ -38,7 +38,7 @@ K = 5  # the largest count that is discounted
 HOT = 0.001
 START, END = 1, 2
 BLOCK_WORDS = 1_500_000
-BUCKET_TOKENS = 1_000_000
+BUCKET_TOKENS = 2_000_000
 CACHE_WORDS = 200_000
 TABLE = "kind string, bucket long, block long, payload binary, ids array<long>"
 
@@ -63,11 +63,11 @@ def freeze(**arrays: np.ndarray) -> bytes:
 
 
 def thaw(payload: bytes) -> dict[str, np.ndarray]:
-    """The arrays of ``freeze``; whole numbers as 64-bit ones."""
+    """The arrays of ``freeze``, whole numbers in the types it chose, but never unsigned 64-bit ones."""
     out = {}
     for row in pa.ipc.open_stream(payload).read_all().to_pylist():
         a = np.frombuffer(row["data"], row["type"])
-        out[row["name"]] = a.astype(np.int64) if a.dtype.kind in "iu" else a
+        out[row["name"]] = a.astype(np.int64) if a.dtype == np.uint64 else a
     return out
 
 
@@ -242,19 +242,20 @@ def _settle(bucket: int, parts: list[tuple[int, dict]], hot: Hot) -> Iterator[tu
     """All tokens of a bucket: count them, and turn them into tables and sums per document."""
     w = np.concatenate([np.repeat(p["w"], p["n"]) for _, p in parts])
     v = np.concatenate([p["v"][p["place"]] for _, p in parts])
-    train = np.concatenate([np.unpackbits(p["train"].astype(np.uint8))[p["doc"]] for _, p in parts])
+    train = np.concatenate([np.unpackbits(p["train"])[p["doc"]] for _, p in parts])
     sizes = [len(p["doc"]) for _, p in parts]
     order = np.lexsort((v, w))
     w_, v_ = w[order], v[order]
     fresh_w = np.r_[True, w_[1:] != w_[:-1]]
     fresh = fresh_w | np.r_[True, v_[1:] != v_[:-1]]
-    group = np.empty(len(w), np.int64)
-    group[order] = np.cumsum(fresh) - 1
+    group = np.empty(len(w), np.int32)
+    group[order] = np.cumsum(fresh, dtype=np.int32) - 1
     gw, gv = w_[fresh], v_[fresh]
-    del w, w_, v_, order
+    first = fresh_w[fresh]
+    del w, w_, v_, order, fresh, fresh_w
     c2 = np.bincount(group, train, len(gw)).astype(np.int64)
-    word = np.cumsum(fresh_w[fresh]) - 1
-    uw = gw[fresh_w[fresh]]
+    word = np.cumsum(first) - 1
+    uw = gw[first]
     c1 = np.bincount(word, c2, len(uw)).astype(np.int64)
     at = hot.place(uw)
     own = at < 0
@@ -265,15 +266,15 @@ def _settle(bucket: int, parts: list[tuple[int, dict]], hot: Hot) -> Iterator[tu
     own_w, n_w = _runs(gw[seen])
     yield "bigrams", bucket, freeze(w=own_w, n_w=n_w, v=gv[seen], n=c2[seen], cw=cg[seen])
     begin = 0
-    r, cw = c2[group], cg[group]
     for (block, p), size in zip(parts, sizes):
         mine = slice(begin, begin + size)
         begin += size
+        r, cw = c2[group[mine]], cg[group[mine]]
         docs, dense = np.unique(p["doc"], return_inverse=True)
-        yield "stat", block, freeze(doc=docs, **_sums(dense, len(docs), r[mine], cw[mine]))
-        new = np.flatnonzero(r[mine] == 0)
+        yield "stat", block, freeze(doc=docs, **_sums(dense, len(docs), r, cw))
+        new = np.flatnonzero(r == 0)
         if len(new):
-            yield "unseen", block, freeze(doc=p["doc"][new], v=v[mine][new], cw=cw[mine][new])
+            yield "unseen", block, freeze(doc=p["doc"][new], v=v[mine][new], cw=cw[new])
 
 
 def _tables(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
@@ -416,7 +417,7 @@ def _per_document(table: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(ids, head, sums) -> pa.RecordBatch:
-            n = head["n"]
+            n = head["n"].astype(np.int64)
             return pa.RecordBatch.from_pydict({
                 "block": np.full(len(n), now), "doc": np.arange(len(n), dtype=np.int32), "doc_id": pa.array(ids, pa.int64()),
                 "held_out": head["held"], "n_tokens": n, "n_known": sums["known"].astype(np.int64),
