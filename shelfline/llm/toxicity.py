@@ -285,17 +285,18 @@ class Sample:
         return (np.log(ratio[1]) - np.log(ratio[0])).astype(np.float32)
 
 
-def fit(bags: list[tuple[int, list[list[bytes]]]], s: Settings = Settings()) -> Network:
+def fit(bags: list[tuple[int, list[list[bytes]]]], base_rate: float, s: Settings = Settings()) -> Network:
     """Learn from ``(label, windows)`` of labelled texts; each window is a list of words.
 
+    ``base_rate`` is the share of toxic texts among all labelled ones, of which these may be a sample.
     In the first epoch every window of a text carries its label; later a toxic text teaches with
     its most toxic window, a clean one with that and any others.
     """
     net, rng = Network.fresh(s), np.random.default_rng(s.seed)
+    net.base_rate = base_rate
     bags = [b for b in bags if b[1]]
-    net.base_rate = float(np.mean([y for y, _ in bags])) if bags else 0.0
     if len({y for y, _ in bags}) < 2:
-        return Network(s, net.base_rate)
+        return Network(s, base_rate)
     data = Sample(bags, s)
     owner = np.repeat(np.arange(len(data.slots)), np.diff(data.at))
     word_texts = data.texts_with(data.slots, np.arange(len(data.slots)), s.word_slots)
@@ -458,12 +459,15 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Netwo
     """Fit on labelled rows that are not held out: at most ``max_rows`` of each class, by hash.
 
     Labels without a document, null labels and null ids are left out; of several labels of an
-    id the highest counts. With labels of one class only, every text gets that class's share.
+    id the highest counts. The base rate is counted over all these rows, before the bound. With
+    labels of one class only, every text gets that rate.
     """
     clean = documents(docs)
     known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     there = clean.select("doc_id").join(known, "doc_id").distinct()
+    n = {r.toxic: r["count"] for r in there.groupBy("toxic").count().collect()}
+    base_rate = n.get(1, 0) / max(1, n.get(0, 0) + n.get(1, 0))
     order = F.xxhash64(F.col("doc_id"), F.lit(s.seed))
     ids = [r for label in (0, 1) for r in
            there.where(F.col("toxic") == label).orderBy(order).limit(s.max_rows).collect()]
@@ -488,7 +492,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Netwo
 
     rows = clean.mapInArrow(run, "doc_id long, windows array<string>").dropDuplicates(["doc_id"]).collect()
     windows = sorted((r.doc_id, r.windows) for r in rows)
-    return fit([(chosen[i], [w.encode().split() for w in ws]) for i, ws in windows], s)
+    return fit([(chosen[i], [w.encode().split() for w in ws]) for i, ws in windows], base_rate, s)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -515,7 +519,7 @@ def _scored(docs: DataFrame, net: Network, text_col: str, name: str) -> DataFram
 def score(docs: DataFrame, net: Network, threshold: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row, from all windows of its text.
 
-    Texts without words, null ones too, get the share of toxic rows in the sample. Repeated
+    Texts without words, null ones too, get the share of toxic rows in the labels. Repeated
     rows get equal scores; a null id stays null and is not held out; other columns are ignored.
     """
     return _scored(documents(docs), net, "text", "score").select(

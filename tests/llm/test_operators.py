@@ -456,6 +456,23 @@ def test_toxicity_of_awkward_rows(spark, docs, rows, network, empty):
     assert toxicity.keep_clean(docs, spark.createDataFrame([], "doc_id long, toxic int")).columns == docs.columns
 
 
+def test_texts_without_words_get_the_share_of_all_labels(spark):
+    """More than 2,000 labelled rows of each class: the bound on learned rows leaves the share alone."""
+    texts = [(i, ("bad trash" if i % 5 == 0 else "good words") + f" {i % 7}") for i in range(14_000)]
+    empty = [(20_000, None), (20_001, ""), (20_002, " \t\n ")]
+    docs = spark.createDataFrame(texts + empty, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    learned = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic = sum(i % 5 == 0 for i in learned)
+    assert toxic > 2000 and len(learned) - toxic > 2000
+    net = toxicity.learn(docs, labels)
+    assert net.base_rate == pytest.approx(toxic / len(learned))
+    got = {r.doc_id: r for r in toxicity.score(docs.where("doc_id >= 20000"), net).collect()}
+    assert all(got[i].score == net.base_rate and got[i].predicted == 0 for i, _ in empty)
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, labels).collect()}
+    assert {i for i, _ in empty} <= kept and not any(i % 5 == 0 for i in kept if i < 20_000)
+
+
 def test_fast_scoring_equals_the_network(network):
     text = ("trash and other words " * 40 + "end").encode()
     scorer, s = toxicity.Scorer(network), network.settings
