@@ -16,23 +16,49 @@ LINE = regex.compile(r"[^\n]+")
 SENTENCE = regex.compile(r"\S(?:[^.!?\n]|[.!?](?!\s|$))*+[.!?]*")
 
 
-def units(text: str, min_words: int) -> Iterator[tuple[int, int, str]]:
-    """``start, end, normalised`` of each line and of each sentence in a line of several.
+def units(text: str, min_words: int) -> list[tuple[int, int, str]]:
+    """``start, end, normalised`` of the units of a text, in order of their places.
+
+    Units are each line, each sentence in a line of several, and for each sentence of fewer than
+    ``min_words`` words the least run of sentences from it on, and the least run up to it, that
+    has as many. So wherever a passage of whole sentences or lines begins, its units are the
+    same, and they hold all its words. Only a text that is shorter as a whole has none. A unit
+    that overlaps the first equal one is left out: it is no repeat of it. So of a text that goes
+    on repeating short lines, fewer than ``min_words`` words at its end may lie in no unit.
 
     Offsets count characters of the text. Normalised is lower case with single spaces and no
-    marks at the end. Units of fewer than ``min_words`` words are left out: they are no passages
-    and recur by chance.
+    marks at the end.
     """
+    found: set[tuple[int, int, str]] = set()
+    parts: list[tuple[int, int, list[str]]] = []
     for line in LINE.finditer(text):
         words = line[0].lower().split()
-        if len(words) < min_words:
+        if not words:
             continue
-        low, high = line.span()
-        yield low, high, _normal(words)
-        for s in SENTENCE.finditer(text, low, high):
-            own = s[0].lower().split()
-            if min_words <= len(own) < len(words):
-                yield s.start(), s.end(), _normal(own)
+        if len(words) >= min_words:
+            found.add((*line.span(), _normal(words)))
+        own = [(*s.span(), s[0].lower().split()) for s in SENTENCE.finditer(text, *line.span())]
+        parts += own if len(own) > 1 else [(*line.span(), words)]
+        if len(own) > 1:
+            found.update((a, b, _normal(w)) for a, b, w in own if len(w) >= min_words)
+    for n, (_, _, words) in enumerate(parts):
+        if len(words) < min_words:
+            for step in (1, -1):
+                size, m = len(words), n
+                while size < min_words and 0 <= m + step < len(parts):
+                    m += step
+                    size += len(parts[m][2])
+                if size >= min_words:
+                    run = parts[min(n, m):max(n, m) + 1]
+                    found.add((run[0][0], run[-1][1], _normal([w for part in run for w in part[2]])))
+    ends: dict[str, int] = {}  # where the first of equal units ends
+    out = []
+    for unit in sorted(found):
+        low, high, words = unit
+        if words not in ends or low >= ends[words]:
+            ends.setdefault(words, high)
+            out.append(unit)
+    return out
 
 
 def _normal(words: list[str]) -> str:
@@ -67,11 +93,11 @@ def remove_repeats(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``doc_id, text, removed, n_removed_chars``: texts without passages that came before.
 
-    Units are lines and the sentences of a line, compared in lower case with single spaces and
-    by a 128-bit digest. The first occurrence by (doc_id, position) stays; ``removed`` lists
-    the others as ``struct<start, end>`` in characters of the original text, in order and
-    merged where they touch or overlap. A line break stays where a unit goes. Null texts are
-    empty. Rows that repeat an id are one document: they share the decision about each unit.
+    Units are lines, the sentences of a line and runs of short ones (``units``), compared in
+    lower case with single spaces and by a 128-bit digest. The first occurrence by (doc_id,
+    position) stays; ``removed`` lists the others as ``struct<start, end>`` in characters of the
+    original text, in order and merged where they touch or overlap. A line break stays where a
+    unit goes, but those inside a run go with it. Null texts are empty. Rows that repeat an id are one document: they share the decision about each unit.
     A null id ranks last; among nothing but null ids every row keeps its units. Other columns
     are ignored.
     """

@@ -400,6 +400,26 @@ def test_repeated_units(docs, rows, empty):
     assert units.remove_repeats(empty).count() == 0
 
 
+def test_repeated_passages_of_short_lines(spark):
+    """Passages in lines or sentences under eight words go whole, wherever they begin and end."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("fghij") for _ in range(7))
+    lines = [" ".join(word() for _ in range(n)) for n in (3, 7, 1, 1, 5, 2, 6, 7, 4, 7, 3, 7, 2)]
+    poem, speech = "\n".join(lines), ". ".join([*lines, " ".join(word() for _ in range(9)), "so be it"]) + "."
+    alone = [" ".join(word() for _ in range(3)) for _ in range(8)]
+    texts = [
+        (1, f"{alone[0]}\n{poem}\n{alone[1]}"), (2, f"{alone[2]}\n{alone[3]}\n{poem}\n{alone[4]}"), (3, poem),
+        (4, f"{alone[5]}. {speech}"), (5, f"{alone[6]}. {alone[7]}! {speech}"),
+        (6, "\n".join(["ha"] * 20)), (7, "too short\nto be one"), (8, "too short\nto be one"),
+    ]
+    got = {x.doc_id: x for x in units.remove_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got[1].text == texts[0][1]
+    assert got[2].text.split() == f"{alone[2]} {alone[3]} {alone[4]}".split() and got[3].text == ""
+    assert got[5].text.split() == f"{alone[6]}. {alone[7]}!".split()
+    assert got[6].text.split() == ["ha"] * 8  # the first occurrence stays
+    assert got[7].text == got[8].text == "too short\nto be one"
+
+
 def test_gradients_are_right():
     s = toxicity.Settings(window=5, word_slots=8, gram_slots=8, vectors=8, width=2, hidden=2, attention=2)
     net = toxicity.Network.fresh(s)
