@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, exact, extract, katz, packing, simhash, token_count, token_store, toxicity, units,
+    collocation, decontaminate, exact, extract, katz, packing, simhash, token_count, token_store, toxicity, units,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -62,9 +62,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_katz_backoff, op3_toxicity, op4_exact_dedup, op5_simhash_near_dedup, op6_decontamination,
     op7_token_store, op8_token_counts, op9_html_extraction, op10_substring_dedup,
+    op11_phrase_collocation,
 )}
 
 ORACLES = {
@@ -73,4 +78,31 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 WINDOW g AS (PARTITION BY norm)""",
+    "op11_phrase_collocation": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3), (4)) sizes(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+held AS (
+    SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+    FROM c, (VALUES (2), (3)) sizes(m), (VALUES (1), (2), (3)) starts(i)
+    WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+    FROM c JOIN (VALUES (1), (2), (3)) cut(j) ON j < c.k
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:j], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1:c.k], ' ')
+    LEFT JOIN held ON held.lang = c.lang AND held.phrase = c.phrase
+    WHERE held.longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * c.a),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
