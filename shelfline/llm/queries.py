@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    collocation, decontaminate, exact, extract, katz, packing, simhash, token_count, token_store, toxicity, units,
+    collocation, decontaminate, exact, extract, katz, packing, ranked_search, simhash, token_count, token_store, toxicity,
+    units, vector_search,
 )
 
 VOCABULARY = "word_bpe_49k.json"
@@ -66,10 +67,18 @@ def op11_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_katz_backoff, op3_toxicity, op4_exact_dedup, op5_simhash_near_dedup, op6_decontamination,
     op7_token_store, op8_token_counts, op9_html_extraction, op10_substring_dedup,
-    op11_phrase_collocation,
+    op11_phrase_collocation, op12_ranked_search, op13_vector_search,
 )}
 
 ORACLES = {
@@ -105,4 +114,28 @@ cuts AS (
 worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+    "op12_ranked_search": r"""
+WITH t AS (
+    SELECT row_number() OVER () AS pos, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+d AS (SELECT pos, doc_id, len(terms) AS n FROM t WHERE len(terms) > 0),
+g AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM d),
+p AS (SELECT pos, term, count(*) AS tf FROM (SELECT pos, unnest(terms) AS term FROM t) GROUP BY ALL),
+w AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM p, g GROUP BY term, docs),
+q AS (
+    SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)),
+s AS (
+    SELECT item, item_id, pos, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+    FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (pos), g
+    GROUP BY item, item_id, pos, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10""",
 }
