@@ -10,13 +10,14 @@ passes. The sample decides only how much is counted when; the result is that of
 
 Texts are read once and staged as blocks: the different words of a block, and the text as
 numbers of these words. Phrases are counted by 64-bit hashes, pre-aggregated per block, and the
-sets that the passes ask for are bit fields of fixed size: a wrong hit counts a phrase in vain,
+sets that the passes ask for are bit fields of bounded size: a wrong hit counts a phrase in vain,
 a hash clash only adds to a count, so none loses a frequent phrase. The phrases that pass are
 counted once more as text, which decides.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,11 +126,11 @@ def phrase_hashes(places: np.ndarray, hashes: np.ndarray, longest: int) -> Itera
 
 
 class Bits:
-    """A set of hashes as a bit field of fixed size."""
+    """A set of hashes as a bit field of bounded size, which travels compressed."""
 
     def __init__(self, field: bytes) -> None:
-        self.field = np.frombuffer(field, np.uint8)
-        self.mask = np.uint64(len(field) * 8 - 1)
+        self.field = np.frombuffer(zlib.decompress(field), np.uint8)
+        self.mask = np.uint64(len(self.field) * 8 - 1)
 
     def has(self, h: np.ndarray) -> np.ndarray:
         slot = (h >> np.uint64(8)) & self.mask
@@ -142,7 +143,11 @@ class Bits:
 
 
 def bit_field(hashes: DataFrame, slots: int = SLOTS) -> bytes:
-    """The members' slots, set in ranges on the executors and put together here."""
+    """The members' slots, set in ranges on the executors and put together here.
+
+    A field has 16 slots or more for each of the staged ``hashes``, ``slots`` at most.
+    """
+    slots = min(slots, 1 << max(16, (16 * hashes.count()).bit_length()))
     span = min(1 << 18, slots)  # bits of one range
     slot = F.shiftrightunsigned("h", 8).bitwiseAND(F.lit(slots - 1))
 
@@ -171,7 +176,7 @@ def bit_field(hashes: DataFrame, slots: int = SLOTS) -> bytes:
     field = bytearray(slots // 8)
     for r in dealt.mapInArrow(run, "part long, field binary").toLocalIterator():  # slots / 8 bytes in all
         field[r.part * span // 8:(r.part + 1) * span // 8] = r.field
-    return bytes(field)
+    return zlib.compress(field, 1)
 
 
 def _count(blocks: DataFrame, longest: int, least: int, now: bytes | None, done: list[bytes]) -> DataFrame:
@@ -207,7 +212,7 @@ def frequent(blocks: DataFrame, longest: int, least: int, fraction: float, slack
              slots: int = SLOTS) -> tuple[bytes, int]:
     """A bit field that holds every phrase with ``least`` occurrences, and the passes it took."""
     lowered = max(2, int(least * fraction * slack))
-    proposed = _count(blocks.where("sampled"), longest, lowered, None, [])
+    proposed = stage(_count(blocks.where("sampled"), longest, lowered, None, []), "proposed")
     fields = [bit_field(proposed, slots)]
     found = stage(_count(blocks, longest, least, fields[0], []), "counted")
     short = F.col("h").bitwiseAND(F.lit(3)) < longest - 1  # can be extended
