@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage
 
-BLOCK_WORDS = 500_000
-CACHE_WORDS = 200_000
+BLOCK_WORDS = 500_000  # of one language
+HELD_WORDS = 4_000_000  # of all languages in a task
 SLOTS = 1 << 26
 SCALE = 2_000_000
 BREAK = -1  # the place of a piece's end among word numbers
@@ -38,25 +38,25 @@ _FOLD = bytes.maketrans(
 BLOCKS = "sampled boolean, lang string, words binary, hashes binary, places binary"
 
 
+class Numbers(dict):
+    """Words to numbers, new ones in turn."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) - 1
+        return number
+
+
 class Block:
     """Texts of one language: word numbers with breaks, and the words behind the numbers."""
 
     def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {b"\n": BREAK}
+        self.numbers = Numbers({b"\n": BREAK})
         self.places: list[np.ndarray] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
         words = text.translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
-        numbers = self.numbers
-        try:
-            found = [numbers[w] for w in words if w]
-        except KeyError:
-            for w in words:
-                if w and w not in numbers:
-                    numbers[w] = len(numbers) - 1
-            found = [numbers[w] for w in words if w]
-        found.append(BREAK)
+        found = [*map(self.numbers.__getitem__, filter(None, words)), BREAK]
         self.places.append(np.array(found, np.int32))
         self.size += len(found)
 
@@ -90,7 +90,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 if block.size >= BLOCK_WORDS:
                     size -= block.size
                     yield _emit([held.pop((lang, sampled)).row(lang, sampled)])
-                if size >= 2 * BLOCK_WORDS:  # many languages: none is full, together they are
+                if size >= HELD_WORDS:  # many languages: none is full, together they are
                     for key in [*held]:
                         yield _emit([held.pop(key).row(*key)])
                     size = 0
@@ -301,7 +301,7 @@ def _with_parts(cuts: DataFrame, phrases: DataFrame, side: str, share: int = 100
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, longest: int = 4, covered: int = 80,
-                 fraction: float = 0.1, slack: float = 0.6, slots: int = SLOTS,
+                 fraction: float = 0.1, slack: float = 1.0, slots: int = SLOTS,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Each language's best phrases: ``lang, rank, phrase, a, l, r, n, score``.
 
