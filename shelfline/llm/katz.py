@@ -208,10 +208,11 @@ def _dealt(docs: DataFrame, hot: Hot, buckets: int) -> DataFrame:
             r, cw = hot.pair_count(hv[both], hw[both]), hot.counts[hw[both]]
             sums = _sums(doc[both], len(ids), r, cw)
             new = np.flatnonzero(r == 0)
-            rows = [("docs", number % buckets, freeze(n=lengths, held=out), ids),
-                    ("stat", number % buckets, freeze(doc=np.arange(len(ids)), **sums), None)]
+            spot = xxhash.xxh64_intdigest(number.to_bytes(8, "little")) % buckets
+            rows = [("docs", spot, freeze(n=lengths, held=out), ids),
+                    ("stat", spot, freeze(doc=np.arange(len(ids)), **sums), None)]
             if len(new):
-                rows.append(("unseen", number % buckets, freeze(
+                rows.append(("unseen", spot, freeze(
                     doc=doc[both][new], v=before[both][new], cw=cw[new]), None))
             left = np.flatnonzero(~both)
             key = np.where(hw[left] < 0, tokens[left], before[left])
@@ -379,8 +380,9 @@ def _contexts(table: DataFrame, model: Model, wanted: bytes, slots: int) -> Data
         for batch in batches:
             for payload in batch["payload"].to_pylist():
                 p = thaw(payload)
-                keep = bits[(p["v"] >> 8) % slots]
-                yield batch_of(p["v"][keep], p["n"][keep], p["cw"][keep])
+                v = p["v"].astype(np.int64)  # a block's largest may need a byte only
+                keep = bits[(v >> 8) % slots]
+                yield batch_of(v[keep], p["n"][keep], p["cw"][keep])
 
     schema = "v long, n double, mass double, below double"
     rows = table.where("kind = 'bigrams'").select("payload").mapInArrow(run, schema)
@@ -400,7 +402,7 @@ def _unseen(table: DataFrame, model: Model) -> DataFrame:
             for block, payload in zip(batch["block"].to_pylist(), batch["payload"].to_pylist()):
                 p = thaw(payload)
                 yield pa.RecordBatch.from_pydict({
-                    "block": np.full(len(p["v"]), block), "doc": p["doc"].astype(np.int32), "v": p["v"],
+                    "block": np.full(len(p["v"]), block, np.int64), "doc": p["doc"].astype(np.int32), "v": p["v"].astype(np.int64),
                     "backed": np.log10(model.unigram(p["cw"])),
                 })
 
@@ -419,7 +421,7 @@ def _per_document(table: DataFrame, model: Model) -> DataFrame:
         def close(ids, head, sums) -> pa.RecordBatch:
             n = head["n"].astype(np.int64)
             return pa.RecordBatch.from_pydict({
-                "block": np.full(len(n), now), "doc": np.arange(len(n), dtype=np.int32), "doc_id": pa.array(ids, pa.int64()),
+                "block": np.full(len(n), now, np.int64), "doc": np.arange(len(n), dtype=np.int32), "doc_id": pa.array(ids, pa.int64()),
                 "held_out": head["held"], "n_tokens": n, "n_known": sums["known"].astype(np.int64),
                 "base_score": sums["base"] - per_token * n,
                 # each token's context has its count in the denominator: the start, and all but the end
