@@ -71,22 +71,27 @@ def digest(unit: str) -> tuple[int, int]:
 
 
 def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, d1, d2`` of each different unit of a document."""
+    """``doc_id, mark, d1, d2, again`` of each different unit of a row; ``again``: the row repeats it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch["doc_id"].to_pylist(), []
-            owners: list = []
-            for doc_id, text in zip(ids, batch["text"].to_pylist()):
-                own = {xxhash.xxh3_128_digest(u.encode()) for _, _, u in units(text, min_words)}
+            keys, again, sizes = [], [], []
+            for text in batch["text"].to_pylist():
+                own: dict[bytes, bool] = {}
+                for _, _, u in units(text, min_words):
+                    key = xxhash.xxh3_128_digest(u.encode())
+                    own[key] = key in own
                 keys += own
-                owners += [doc_id] * len(own)
+                again += own.values()
+                sizes.append(len(own))
             both = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+            owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(owners, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())],
-                ["doc_id", "d1", "d2"],
+                [batch["doc_id"].take(owner), batch["mark"].take(owner), pa.array(both[:, 0].copy()),
+                 pa.array(both[:, 1].copy()), pa.array(again, pa.bool_())],
+                ["doc_id", "mark", "d1", "d2", "again"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc_id long, mark int, d1 long, d2 long, again boolean")
 
 
 def remove_repeats(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
@@ -101,25 +106,34 @@ def remove_repeats(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
     A null id ranks last; among nothing but null ids every row keeps its units. Other columns
     are ignored.
     """
-    clean = documents(docs, id_col, text_col)
+    # Rows with one id, or none, are told apart by their texts, so that none gathers another's units.
+    mark = F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int").alias("mark")
+    clean = documents(docs, id_col, text_col).select("doc_id", mark, "text")
     found = stage(_occurrences(clean, min_words), "units")
     shared = found.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.max("doc_id").alias("last_id"),
         F.count("doc_id").alias("known"),
     ).where("n > 1 AND first_id IS NOT NULL AND (first_id <> last_id OR known < n)")
     shared = stage(shared.select(F.struct("d1", "d2").alias("key"), "first_id", "n"), "shared")
-    keyed = found.select("doc_id", F.struct("d1", "d2").alias("key"))
+    keyed = found.select("doc_id", "mark", F.struct("d1", "d2").alias("key"))
     repeated = join_classes(keyed, shared, "key", F.col("n")).where(
         "first_id IS NOT NULL AND NOT (doc_id <=> first_id)"
-    ).select("doc_id", "key.d1", "key.d2").distinct()
-    per_doc = repeated.groupBy("doc_id").agg(F.collect_list(F.struct("d1", "d2")).alias("gone")) \
-        .withColumnRenamed("doc_id", "gone_id")  # as many as the document has units
+    ).select("doc_id", "mark", F.struct("key.d1", "key.d2").alias("unit")).distinct()
+    inside = found.where("again").select("doc_id", "mark").distinct().withColumn(
+        "unit", F.lit(None).cast(repeated.schema["unit"].dataType))
+    # As many as a text has units; texts that are in no list lose nothing and are not read again.
+    per_row = repeated.unionByName(inside).groupBy("doc_id", "mark").agg(F.collect_list("unit").alias("gone")) \
+        .select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"), "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []
             for text, gone in zip(batch["text"].to_pylist(), batch["gone"].to_pylist()):
-                listed = {(g["d1"], g["d2"]) for g in gone or ()}
+                if gone is None:
+                    texts.append(text)
+                    spans.append([])
+                    continue
+                listed = {(g["d1"], g["d2"]) for g in gone}
                 seen: set = set()
                 cut: list[list[int]] = []
                 for low, high, unit in units(text, min_words):
@@ -141,5 +155,6 @@ def remove_repeats(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
                 ["doc_id", "text", "removed", "n_removed_chars"],
             )
 
-    both = clean.join(per_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select("doc_id", "text", "gone")
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
+    both = clean.join(per_row, same, "left").select("doc_id", "text", "gone")
     return both.mapInArrow(run, "doc_id long, text string, removed array<struct<start:long,end:long>>, n_removed_chars long")
