@@ -85,7 +85,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is among ``gone(doc_id)``; a null id is an id like others."""
-    same = F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id"))
-    return docs.alias("docs").join(gone.select("doc_id").distinct().alias("gone"), same, "left_anti")
+    """``docs`` without the rows whose id and text are among ``gone(doc_id, sha)``.
+
+    A null id is an id like others. Rows that share an id but not the text stand for themselves.
+    """
+    sha = free_name(docs, "sha")
+    same = [F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id")), F.col(f"docs.{sha}") == F.col("gone.sha")]
+    marked = docs.withColumn(sha, text_hash(F.col("text"))).alias("docs")
+    return marked.join(gone.select("doc_id", "sha").distinct().alias("gone"), same, "left_anti").drop(sha)

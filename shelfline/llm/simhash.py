@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import documents, join_classes, stage, without
+from .common import documents, join_classes, stage, text_hash, without
 from .components import components
 
 FAN = 16  # members of a group, on every level
@@ -50,16 +50,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(total * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` of every row; texts without words have the fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = 3, sha: Column | None = None) -> DataFrame:
+    """``doc_id, sha, fp`` of every row; texts without words have the fingerprint 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in batch["text"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], ["doc_id", "fp"]
+                [batch["doc_id"], batch["sha"], pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())],
+                ["doc_id", "sha", "fp"],
             )
 
-    return documents(docs).mapInArrow(run, "doc_id long, fp long")
+    rows = documents(docs).withColumn("sha", F.lit("") if sha is None else sha)
+    return rows.mapInArrow(run, "doc_id long, sha string, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -224,6 +226,21 @@ def links(rows: DataFrame, max_bits: int = 3, full: int = 4096) -> DataFrame:
     return dealt.repartition("bucket").sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
 
 
+def _headed(mine: DataFrame, max_bits: int) -> DataFrame:
+    """``mine(doc_id, sha, fp)``, staged, with the ``head`` of each row's group.
+
+    That is the row with the smallest id, null ids last, and of those the smallest hash.
+    """
+    head = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "sha")
+    nodes = stage(mine.groupBy("fp").agg(F.min(head).alias("least"), F.count("*").alias("n_docs")), "nodes")
+    joined = components(links(nodes.select("fp"), max_bits))
+    root = F.coalesce("b", "fp").alias("root")
+    rooted = stage(nodes.join(joined.withColumnRenamed("a", "fp"), "fp", "left").select("fp", root, "least", "n_docs"), "roots")
+    totals = rooted.groupBy("root").agg(F.min("least").alias("head"), F.count("*").alias("n"))
+    named = join_classes(rooted, totals, "root", F.col("n")).select("fp", "head", "n_docs")
+    return join_classes(mine, stage(named, "components"), "fp", F.col("n_docs"))
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -233,20 +250,18 @@ def near_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFra
     component unless it has no other id. Repeated rows each get their row; other columns are
     ignored; an empty table gives no rows.
     """
-    mine = stage(fingerprints(docs, shingle), "fingerprints")
-    nodes = stage(mine.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_docs")), "nodes")
-    joined = components(links(nodes.select("fp"), max_bits))
-    root = F.coalesce("b", "fp").alias("root")
-    rooted = stage(nodes.join(joined.withColumnRenamed("a", "fp"), "fp", "left").select("fp", root, "least", "n_docs"), "roots")
-    totals = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
-    named = join_classes(rooted, totals, "root", F.col("n")).select("fp", "component_id", "n_docs")
-    out = join_classes(mine, stage(named, "components"), "fp", F.col("n_docs"))
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    out = _headed(stage(fingerprints(docs, shingle), "fingerprints"), max_bits)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      F.col("head.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id; all columns kept.
+    """``docs`` with one text of each group, that of the smallest id; all columns kept.
 
-    Rows that share an id are one document. Where nothing but null ids is linked, all stay.
+    Rows are told apart by id and text, so a row goes only for its own group. Of several texts
+    under the smallest id, or of nothing but null ids, the one with the smallest hash stays;
+    rows that repeat an id and its text stay or go together.
     """
-    return without(docs, near_groups(docs, shingle, max_bits).where("NOT (doc_id <=> component_id)"))
+    out = _headed(stage(fingerprints(docs, shingle, text_hash(F.col("text"))), "fingerprints"), max_bits)
+    kept = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("sha") == F.col("head.sha"))
+    return without(docs, out.where(~kept))
