@@ -9,7 +9,7 @@ that could be extended. Phrases have ``longest`` words at most, so there are at
 passes. The sample decides only how much is counted when; the result is that of a full count.
 
 Texts are read once and staged as blocks: the different words of a block, and the text as
-numbers of these words. Phrases are counted by 64-bit hashes, pre-aggregated per block, and the
+numbers of these words. Phrases are counted by 64-bit hashes, summed up in each block first, and the
 sets that the passes ask for are bit fields of bounded size: a wrong hit counts a phrase in vain,
 a hash clash only adds to a count, so none loses a frequent phrase. The phrases that pass are
 counted once more as text, which decides.
@@ -29,6 +29,8 @@ from .common import stage
 
 BLOCK_WORDS = 500_000  # of one language
 HELD_WORDS = 4_000_000  # of all languages in a task
+BUCKET_WORDS = 1_000_000  # a pass has a range of hashes for so many words
+HELD_COUNTS = 4_000_000
 SLOTS = 1 << 26
 SCALE = 2_000_000
 BREAK = -1  # the place of a piece's end among word numbers
@@ -179,42 +181,84 @@ def bit_field(hashes: DataFrame, slots: int = SLOTS) -> bytes:
     return zlib.compress(field, 1)
 
 
-def _count(blocks: DataFrame, longest: int, least: int, now: bytes | None, done: list[bytes]) -> DataFrame:
+def _count(blocks: DataFrame, longest: int, least: int, now: bytes | None, done: list[bytes], buckets: int) -> DataFrame:
     """``h, n`` of the phrases that occur ``least`` times, of those a pass asks for.
 
     ``now``: the field of the phrases that may be extended; None counts everything. ``done``:
-    the fields of earlier passes, which have counted what these allow.
+    the fields of earlier passes, which have counted what these allow. A block's counts travel
+    as arrays, one for each range of hashes.
     """
+    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field, before = now and Bits(now), [*map(Bits, done)]
         for batch in batches:
-            for hashes, places in zip(batch["hashes"].to_pylist(), batch["places"].to_pylist()):
-                hashes, places = np.frombuffer(hashes, np.uint64), np.frombuffer(places, np.int32)
+            for hashes, places in zip(batch["hashes"], batch["places"]):
+                hashes, places = (np.frombuffer(x.as_buffer(), t) for x, t in ((hashes, np.uint64), (places, np.int32)))
                 asked: np.ndarray | None = None
+                counts = []
                 for k, (h, ends) in enumerate(phrase_hashes(places, hashes, longest)):
                     if k == 0 or not field:
                         wanted = ends if not before or k else np.zeros(len(ends), bool)
                     else:
                         wanted = ends & asked
-                    if len(at := h[wanted]):
-                        own, n = np.unique(at, return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["h", "n"])
+                    counts.append(np.unique(h[wanted], return_counts=True))
                     if field and k + 1 < longest:
                         asked = field.extends(h, ends)
                         for b in before:
                             asked &= ~b.extends(h, ends)
+                own, n = (np.concatenate(c) for c in zip(*counts))
+                order = np.argsort(own)
+                own, n = own[order], n[order].astype(np.uint32)
+                cuts = [0, *np.searchsorted(own, edges).tolist(), len(own)]
+                some = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some, pa.int32()), pa.array([own[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()),
+                    pa.array([n[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())], ["bucket", "h", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, size = -1, [], 0
+
+        def total() -> tuple[np.ndarray, np.ndarray]:
+            h, n = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            return h[first], np.add.reduceat(n[order], first)
+
+        def close() -> pa.RecordBatch:
+            h, n = total()
+            often = n >= least
+            return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
+
+        for batch in batches:
+            for b, h, n in zip(batch["bucket"].to_pylist(), batch["h"], batch["n"]):
+                if b != bucket and held:
+                    yield close()
+                    held, size = [], 0
+                bucket = b
+                held.append((np.frombuffer(h.as_buffer(), np.uint64).copy(), np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64)))
+                size += len(held[-1][0])
+                if size > HELD_COUNTS:
+                    held = [total()]
+                    size = 0
+        if held:
+            yield close()
 
-    counted = blocks.select("hashes", "places").mapInArrow(run, "h long, n long")
-    return counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = blocks.select("hashes", "places").mapInArrow(run, "bucket int, h binary, n binary")
+    return counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add, "h long, n long")
 
 
 def frequent(blocks: DataFrame, longest: int, least: int, fraction: float, slack: float,
              slots: int = SLOTS) -> tuple[bytes, int]:
     """A bit field that holds every phrase with ``least`` occurrences, and the passes it took."""
     lowered = max(2, int(least * fraction * slack))
-    proposed = stage(_count(blocks.where("sampled"), longest, lowered, None, []), "proposed")
+    words = blocks.agg(F.sum(F.length("places"))).first()[0] or 0
+    buckets = max(1, words // 4 // BUCKET_WORDS)  # a place takes four bytes
+    few = max(1, int(buckets * fraction * longest))
+    proposed = stage(_count(blocks.where("sampled"), longest, lowered, None, [], few), "proposed")
     fields = [bit_field(proposed, slots)]
-    found = stage(_count(blocks, longest, least, fields[0], []), "counted")
+    found = stage(_count(blocks, longest, least, fields[0], [], buckets), "counted")
     short = F.col("h").bitwiseAND(F.lit(3)) < longest - 1  # can be extended
     passes = 1
     bits = fields[0]
@@ -230,7 +274,7 @@ def frequent(blocks: DataFrame, longest: int, least: int, fraction: float, slack
 
     while not outside(found.where(short), bits).isEmpty():  # the border holds phrases that may go on
         bits = bit_field(found, slots)
-        more = stage(_count(blocks, longest, least, bits, fields), "counted")
+        more = stage(_count(blocks, longest, least, bits, fields, buckets), "counted")
         fields.append(bits)
         found = found.unionByName(more)
         passes += 1
@@ -344,7 +388,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, longest: int
         "lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "scored")
     best = [F.desc("score"), F.desc("a"), "phrase"]
     # A language's best are the best of its shares' best; a share has 100,000 phrases or so.
-    salts = max(1, worst.count() // 100_000 + 1)
+    salts = worst.count() // 100_000 + 16
     salt = F.pmod(F.xxhash64("phrase"), F.lit(salts))
     first = worst.withColumn("salt", salt).withColumn(
         "place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best))).where(F.col("place") <= top)
