@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.joins import join_unique
 from ..functions.text import blank_to_null, normalize_slug
 from ..schemas import BRAND, CATEGORY, PRODUCT, PRODUCT_DEFAULTS, SPARSE_PRODUCT_COLUMNS
 from ..session import stage
+from .identity import resolve_identity, url_owners
 from .stats import side_by_side
 
 REFERENCES = ("category_name", "brand_name")
@@ -146,11 +148,12 @@ class ProductMerge:
     brands: Merged
     rejects: DataFrame
     batch: DataFrame
+    created: DataFrame  # slugs
 
     def stats(self) -> DataFrame:
         """One row: batch rows by what became of them."""
         total = self.batch.agg(F.count("*").alias("total"))
-        created = self.products.rows.agg(F.count_if(F.col("change") == CREATED).alias("created"))
+        created = self.created.agg(F.count("*").alias("created"))
         errors = self.rejects.agg(F.count("*").alias("errors"))
         return side_by_side(total, created, errors).select(
             "total", "created",
@@ -162,48 +165,16 @@ class ProductMerge:
 def match_slug_or_url(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Add ``match_slug``: the stored row with the same slug, else the one with the same address.
 
-    Two equi-joins on the distinct pairs; an OR condition would become a nested loop.
+    Where several stored rows have one address, the smallest slug owns it, so no batch row is
+    repeated. Two equi-joins on the distinct pairs; an OR condition would become a nested loop.
     """
-    pairs = batch.select("slug", "url").distinct()
-    by_slug = current.select("slug", F.col("slug").alias("s_slug"))
-    by_url = current.select("url", F.col("slug").alias("u_slug"))
-    matched = pairs.join(by_slug, "slug", "left").join(by_url, "url", "left").select(
-        "slug", "url", F.coalesce("s_slug", "u_slug").alias("match_slug"),
+    pairs = stage(batch.groupBy("slug", "url").agg(F.count("*").alias("n_rows")))
+    by_slug = current.select("slug", F.col("slug").alias("s_slug")).distinct()
+    matched = pairs.join(by_slug, "slug", "left").join(url_owners(current), "url", "left").select(
+        "slug", "url", "n_rows", F.coalesce("s_slug", "u_slug").alias("match_slug"),
         F.col("u_slug").alias("url_owner"),
     )
-    return batch.join(matched, ["slug", "url"])
-
-
-def resolve_identity(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows under the slug they belong to, rows whose identity is unclear with ``reason``).
-
-    Needed only where slugs are not derived from addresses. Rows are unclear if their address
-    belongs to another stored slug, or if several slugs of the batch claim one row, because
-    then the outcome would hang on the order of single writes.
-    """
-    m = match_slug_or_url(current, batch)
-    target = F.coalesce("match_slug", "slug")
-    per_url = batch.groupBy("url").agg((F.min("slug") != F.max("slug")).alias("shared"))
-    per_target = m.groupBy(target.alias("_target")).agg(
-        ((F.min("slug") != F.max("slug")) |
-         ((F.min("slug") != F.col("_target")) & (F.min("url") != F.max("url")))).alias("contested")
-    )
-    marked = (
-        m.withColumn("_target", target)
-        .join(per_url, "url")
-        .join(per_target, "_target")
-        .withColumn(
-            "reason",
-            F.when(
-                F.col("url_owner").isNotNull() & (F.col("url_owner") != F.col("_target")),
-                "url_conflict",
-            ).when(F.col("shared") | F.col("contested"), "ambiguous_identity"),
-        )
-    )
-    rest = [c for c in batch.columns if c != "slug"]
-    clear = marked.where("reason IS NULL").select(F.col("_target").alias("slug"), *rest)
-    unclear = marked.where("reason IS NOT NULL").select(*batch.columns, "reason")
-    return clear.select(*batch.columns), unclear
+    return join_unique(batch, stage(matched), ["slug", "url"])
 
 
 def collapse_products(batch: DataFrame, order: str = "pos",
@@ -287,11 +258,11 @@ def merge_products(current: DataFrame, categories: DataFrame, brands: DataFrame,
     rows = joined.select(*[col.alias(name) for name, col in out.items()])
 
     # Only rows without a category can be rejected, so only those meet the other tables.
-    first_valid = one.select("slug", "valid_from")
+    first_valid = one.select("slug", "valid_from", "n_rows")
     blank = batch.where(blank_to_null(F.col("category_name")).isNull())
     late = F.col("valid_from").isNull() | (F.col(order) < F.col("valid_from"))
     rejects = (
-        blank.join(first_valid, "slug").where(late).drop("valid_from")
+        join_unique(blank, first_valid, ["slug"]).where(late).drop("valid_from")
         .join(current.select("slug"), "slug", "left_anti")
         .withColumn("reason", F.lit("missing_category"))
     )
@@ -301,4 +272,5 @@ def merge_products(current: DataFrame, categories: DataFrame, brands: DataFrame,
         merge_names(brands, brand_names, now),
         rejects.select(*batch.columns, "reason"),
         batch,
+        one.where("valid_from IS NOT NULL").select("slug").join(current.select("slug"), "slug", "left_anti"),
     )

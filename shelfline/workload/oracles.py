@@ -230,15 +230,34 @@ ORACLES: dict[str, str] = {
       SELECT b.pos, b.slug, b.url, coalesce(s.slug, u.slug) AS match_slug FROM b
       LEFT JOIN stored s ON b.slug = s.slug LEFT JOIN stored u ON b.url = u.url""",
     "merge_by_url": f"""WITH {OFFERS}, {STORED}, b AS (
-        SELECT pos, CASE WHEN is_sale THEN 'x-' || slug ELSE slug END AS slug, url FROM batch),
-      m AS (SELECT b.pos, b.slug, b.url, coalesce(s.slug, u.slug, b.slug) AS target, u.slug AS owner FROM b
-        LEFT JOIN stored s ON b.slug = s.slug LEFT JOIN stored u ON b.url = u.url),
-      r AS (SELECT *, CASE WHEN owner <> target THEN 'url_conflict'
-          WHEN min(slug) OVER (PARTITION BY url) <> max(slug) OVER (PARTITION BY url)
-            OR min(slug) OVER (PARTITION BY target) <> max(slug) OVER (PARTITION BY target)
-            OR (min(slug) OVER (PARTITION BY target) <> target AND min(url) OVER (PARTITION BY target) <> max(url) OVER (PARTITION BY target))
-          THEN 'ambiguous_identity' END AS reason FROM m)
-      SELECT pos, CASE WHEN reason IS NULL THEN target ELSE slug END AS slug, coalesce(reason, '') AS reason FROM r""",
+        SELECT pos, CASE WHEN is_sale THEN 'x-' || slug ELSE slug END AS slug, url, category_name FROM batch),
+      f AS (SELECT url, arg_min(slug, pos) AS slug FROM b WHERE category_name <> '' GROUP BY url)
+      SELECT b.pos, coalesce(u.slug, f.slug, b.slug) AS slug, '' AS reason
+      FROM b LEFT JOIN stored u ON b.url = u.url LEFT JOIN f ON b.url = f.url""",
+    "merge_replay": f"""WITH RECURSIVE {OFFERS}, {STORED},
+      l AS (SELECT pos, slug, url, category_name, split_part(pos, '-', 3)::INT AS line, regexp_extract(slug, '^(p[0-9]+)-', 1) AS part FROM batch),
+      b AS (SELECT pos, part, category_name <> '' AS known, CASE WHEN line % 4 = 0 THEN part || '-n' || line ELSE slug END AS slug,
+          CASE line % 3 WHEN 0 THEN url WHEN 1 THEN '/offers/' || part || '-x' || line ELSE '/offers/' || part END AS url,
+          row_number() OVER (PARTITION BY part ORDER BY pos) AS i FROM l),
+      s0 AS (SELECT regexp_extract(slug, '^(p[0-9]+)-', 1) AS part, list({{'slug': slug, 'url': url}}) AS state FROM stored GROUP BY ALL),
+      w AS (  -- one row of every part at a time
+        SELECT p.part, 0::BIGINT AS i, coalesce(s0.state, []::STRUCT(slug VARCHAR, url VARCHAR)[]) AS state,
+          NULL::VARCHAR AS pos, NULL::VARCHAR AS target, NULL::VARCHAR AS reason
+        FROM (SELECT DISTINCT part FROM b) p LEFT JOIN s0 USING (part)
+        UNION ALL
+        SELECT part, i,
+          CASE WHEN mine AND (owner IS NULL OR owner = slug) THEN
+              list_append(list_filter(state, lambda x: x.slug <> slug), {{'slug': slug, 'url': url}})
+            WHEN NOT mine AND owner IS NULL AND known THEN list_append(state, {{'slug': slug, 'url': url}}) ELSE state END,
+          pos, CASE WHEN mine AND owner <> slug THEN NULL WHEN mine THEN slug WHEN owner IS NOT NULL THEN owner WHEN known THEN slug END,
+          CASE WHEN mine AND owner <> slug THEN 'url_conflict' WHEN NOT mine AND owner IS NULL AND NOT known THEN 'missing_category' ELSE '' END
+        FROM (SELECT b.*, w.state, len(list_filter(w.state, lambda x: x.slug = b.slug)) > 0 AS mine,
+                list_filter(w.state, lambda x: x.url = b.url)[1].slug AS owner
+              FROM w JOIN b ON b.part = w.part AND b.i = w.i + 1))
+      SELECT pos, coalesce(target, '') AS slug, '' AS url, reason FROM w WHERE i > 0
+      UNION ALL SELECT '', unnest(state).slug, unnest(state).url, '' FROM (
+        SELECT state FROM w QUALIFY row_number() OVER (PARTITION BY part ORDER BY i DESC) = 1)
+      UNION ALL SELECT '', slug, url, '' FROM stored WHERE regexp_extract(slug, '^(p[0-9]+)-', 1) NOT IN (SELECT part FROM b)""",
     "latest_pages": """WITH p AS (SELECT regexp_extract(url, '//([^/]+)', 1) AS url, page_id, page_id * 7 % 11 AS landed_at FROM pages)
       SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY url ORDER BY landed_at DESC, page_id DESC) = 1""",
     # Extraction from the landed pages

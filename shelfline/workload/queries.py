@@ -125,13 +125,35 @@ def match_slug_or_url(spark, d):
 
 @query
 def merge_by_url(spark, d):
-    """The slug each feed row belongs to, or why that is unclear."""
+    """The slug each feed row belongs to, or why it fails."""
     batch = t.change_batch(spark, d)
     renamed = F.when(F.col("is_sale"), F.concat(F.lit("x-"), F.col("slug"))).otherwise(F.col("slug"))
     clear, unclear = merge.resolve_identity(t.stored_offers(spark, d), batch.withColumn("slug", renamed))
     return clear.select("pos", "slug", F.lit("").alias("reason")).unionByName(unclear.select("pos", "slug", "reason"))
 
 
+@query
+def merge_replay(spark, d):
+    """A feed that moves products to other addresses, some of them taken: its rows, and the products then."""
+    batch = t.change_batch(spark, d)
+    part = F.regexp_extract("slug", "^(p[0-9]+)-", 1)
+    line = F.split("pos", "-")[2].cast("int")
+    url = F.when(line % 3 == 0, F.col("url")).when(
+        line % 3 == 1, F.concat(F.lit("/offers/"), part, F.lit("-x"), line)).otherwise(F.concat(F.lit("/offers/"), part))
+    slug = F.when(line % 4 == 0, F.concat(part, F.lit("-n"), line)).otherwise(F.col("slug"))
+    stored = t.stored_offers(spark, d)
+    clear, failed = merge.resolve_identity(stored, batch.withColumns({"slug": slug, "url": url}))
+    out = merge.merge_products(stored, t.categories(spark, d), t.brands(spark, d), stage(clear), t.ts(t.NOW))
+    accepted = lookup.missing(clear.select("pos", "slug"), out.rejects, "pos")
+    refused = failed.select("pos", "reason").unionByName(out.rejects.select("pos", "reason"))
+    none = F.lit("")
+    return (
+        accepted.select("pos", "slug", none.alias("url"), none.alias("reason"))
+        .unionByName(refused.select("pos", none.alias("slug"), none.alias("url"), "reason"))
+        .unionByName(out.products.rows.select(none.alias("pos"), "slug", "url", none.alias("reason")))
+    )
+
+
 @query
 def latest_pages(spark, d):
     """The last landing of each host, as if every page of a host had landed at one address."""
