@@ -26,7 +26,7 @@ from ..operators.quality import split_valid
 from ..operators.stats import catalog_stats, side_by_side
 from ..session import small_side, stage, staging_scope
 from ..sources.catalog import CatalogStore, Snapshot
-from ..sources.pages import latest_versions
+from ..sources.pages import landed_after, latest_versions
 
 
 @dataclass(frozen=True)
@@ -80,9 +80,11 @@ def listed_products(pages: DataFrame, targets: DataFrame, rules: ShopRules,
 def detail_rows(pages: DataFrame, rules: ShopRules, wanted: DataFrame | None = None) -> DataFrame:
     """Product rows of product pages; ``wanted(url)`` narrows the pages before they are parsed.
 
-    Leave ``wanted`` out where most pages are wanted: then rows, not pages, are joined later.
+    Where ``wanted`` also has ``since``, only pages that landed after it are. Leave ``wanted`` out where most pages are wanted: then rows, not pages, are joined later.
     """
-    if wanted is not None:
+    if wanted is not None and "since" in wanted.columns:
+        pages = landed_after(pages, wanted)
+    elif wanted is not None:
         pages = pages.join(small_side(wanted.select("url").distinct()), "url", "left_semi")
     docs = with_document(pages, rules.detail)
     return product_detail(docs, rules.base, "url", rules=rules.detail)
@@ -96,13 +98,16 @@ def current_pages(pages: DataFrame) -> DataFrame:
 
 def process_batch(current: Snapshot, categories: DataFrame, raw: DataFrame, now: Column,
                   on_missing_category: str = "reject", locale: str = "plain",
-                  validate: bool = True) -> tuple[merge.ProductMerge, DataFrame]:
+                  validate: bool = True, part: Callable[[DataFrame], DataFrame] | None = None,
+                  ) -> tuple[merge.ProductMerge, DataFrame]:
     """Normalize, validate and merge raw rows with columns ``pos`` and, optionally, ``source``.
 
-    A row is a stored product's if it has its slug or else its address; where that is unclear
-    the row is handed back with the rejected ones.
+    A row is a stored product's if it has its slug or else its address, in batch order; rows
+    that fail there are handed back with the rejected ones.
 
-    ``assign_source`` names a row without a category after the listing it came from.
+    ``assign_source`` names a row without a category after the listing it came from. ``part``
+    gives the stored products to merge with, once the slugs of the batch are known: those with
+    these slugs, at least. Without it all of ``current.products`` are read and merged.
     """
     if on_missing_category not in ("reject", "assign_source"):
         raise ValueError(f"unknown policy: {on_missing_category}")
@@ -116,7 +121,9 @@ def process_batch(current: Snapshot, categories: DataFrame, raw: DataFrame, now:
         good = good.drop("source")
     good, unclear = merge.resolve_identity(current.products, good)
     bad = bad.unionByName(unclear.select(*bad.columns)) if validate else unclear
-    return merge.merge_products(current.products, categories, current.brands, stage(good), now), bad
+    good = stage(good)
+    products = current.products if part is None else part(good.select("slug"))
+    return merge.merge_products(products, categories, current.brands, good, now), bad
 
 
 def _numbers(df: DataFrame, **counts: Column) -> DataFrame:
@@ -170,11 +177,15 @@ def full_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, now: dat
 
 def incremental_refresh(pages: DataFrame, current: Snapshot, rules: ShopRules, now: datetime,
                         since_days: int = 1) -> Refresh:
-    """Re-read recently changed products, then take unknown ones from first listing pages."""
+    """Re-read recently changed products, then take unknown ones from first listing pages.
+
+    Of the changed ones only pages that landed after the product was stored are parsed, where
+    the pages tell when they landed.
+    """
     at = F.lit(now)
     pages = current_pages(pages)
     recent = lookup.modified_since(current.products, F.lit(now - timedelta(days=since_days)))
-    addresses = recent.select(absolute_url(rules.base, F.col("url")).alias("url"), "slug")
+    addresses = recent.select(absolute_url(rules.base, F.col("url")).alias("url"), F.col("updated_at").alias("since"))
     reread = detail_rows(pages, rules, addresses).withColumn(
         "pos", F.struct(F.lit(0).alias("phase"), F.col("url").alias("key"))
     )

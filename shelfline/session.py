@@ -46,6 +46,13 @@ def staging_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own in the staging folder, removed like what is staged."""
+    path = f"{staging_folder(spark)}/folder-{uuid.uuid4().hex}"
+    _staged.append((spark, path))
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the staging folder and read it from there.
 

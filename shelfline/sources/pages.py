@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from ..schemas import PAGE
 
@@ -37,8 +42,10 @@ def read_html_files(spark: SparkSession, path: str, base_url: str) -> DataFrame:
 
 
 def stream_pages(spark: SparkSession, path: str, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(PAGE)
+                 max_files_per_trigger: int | None = None, timed: bool = False) -> DataFrame:
+    """Landed pages as they come; ``timed`` where they tell ``landed_at``."""
+    schema = StructType([*PAGE.fields, StructField("landed_at", TimestampType())]) if timed else PAGE
+    reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -58,3 +65,43 @@ def latest_versions(pages: DataFrame) -> DataFrame:
     same = [F.col("p.url").eqNullSafe(F.col("w.url")), F.struct(*[F.col(f"p.{c}") for c in (*order, "_hash")]).eqNullSafe(F.col("w.w"))]
     won = marked.alias("p").join(winners.alias("w"), same, "left_semi")
     return won.dropDuplicates(["url"]).drop("_hash")
+
+
+def landed_after(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """Pages of the addresses in ``known(url, since)`` that landed after that; as-of both tables.
+
+    Pages that do not tell when they landed, and addresses without a time, count as new.
+    """
+    last = known.groupBy("url").agg(F.max("since").alias("since"))
+    if "landed_at" not in pages.columns:
+        return pages.join(last.select("url"), "url", "left_semi")
+    newer = F.col("since").isNull() | F.col("landed_at").isNull() | (F.col("landed_at") > F.col("since"))
+    return pages.join(last, "url").where(newer).select(*pages.columns)
+
+
+def newest_pages(pages: DataFrame, delay: str = "7 days") -> DataFrame:
+    """A stream's pages, each only if it landed after all that came before from its address.
+
+    The state holds the last landing of an address until the watermark, ``delay`` behind the
+    newest landing, has passed it; pages that come later than that are dropped by the watermark.
+    Of several pages of an address in one batch only the last is passed on.
+    """
+    columns = pages.columns
+
+    def newer(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for part in parts:
+            row = part.sort_values(["landed_at", "page_id"]).iloc[[-1]]
+            at = (row["landed_at"].iloc[0].value // 1000, int(row["page_id"].iloc[0]))
+            if best is None or at > best[0]:
+                best = (at, row)
+        if best and (not state.exists or best[0] > state.get):
+            state.update(best[0])
+            state.setTimeoutTimestamp(max(best[0][0] // 1000, state.getCurrentWatermarkMs()) + 1)
+            yield best[1][columns]
+
+    return pages.withWatermark("landed_at", delay).groupBy("url").applyInPandasWithState(
+        newer, pages.schema, "landed_us long, page_id long", "append", GroupStateTimeout.EventTimeTimeout)

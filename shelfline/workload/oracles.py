@@ -488,6 +488,16 @@ ORACLES: dict[str, str] = {
         CASE WHEN d.slug IS NOT NULL THEN TIMESTAMP '2020-02-20' ELSE k.updated_at END AS updated_at,
         CASE WHEN d.slug IS NOT NULL THEN 'updated' ELSE 'untouched' END AS change
       FROM known k LEFT JOIN details d ON d.slug = k.slug AND k.recent""",
+    "incremental_new_pages": f"""WITH {PRODS}, {DETAILS}, known AS (SELECT *, updated_at >= TIMESTAMP '2020-01-31' AND updated_at < TIMESTAMP '2020-02-10' AS due FROM prods WHERE NOT is_new)
+      SELECT k.slug, coalesce(d.name, k.name) AS name, coalesce(d.price, k.price) AS price,
+        CASE WHEN d.slug IS NOT NULL THEN TIMESTAMP '2020-02-20' ELSE k.updated_at END AS updated_at,
+        CASE WHEN d.slug IS NOT NULL THEN 'updated' ELSE 'untouched' END AS change
+      FROM known k LEFT JOIN details d ON d.slug = k.slug AND k.due""",
+    "stream_incremental": f"""WITH {DETAILS} SELECT slug, name, price, lower(n_name) AS category_slug, lower(replace(brand_name, '#', '')) AS brand_slug,
+        CASE WHEN p_partkey % 4 = 0 THEN replace(description, 'About ', 'Now ') ELSE description END AS description,
+        CASE WHEN p_partkey % 2 = 1 THEN TIMESTAMP '2024-01-04' ELSE TIMESTAMP '2024-01-03' END AS created_at,
+        CASE WHEN p_partkey % 2 = 1 OR p_partkey % 4 = 0 THEN TIMESTAMP '2024-01-04' ELSE TIMESTAMP '2024-01-03' END AS updated_at
+      FROM details WHERE category_name IS NOT NULL""",
     "category_refresh": f"""WITH {CARDS}, {PRODS} SELECT c.slug, c.name, c.price, 'nation_3' AS category_slug,
         CASE WHEN p.slug IS NOT NULL THEN 'updated' ELSE 'created' END AS change
       FROM cards c LEFT JOIN prods p ON c.slug = p.slug AND NOT p.is_new WHERE c.n_name = 'NATION_3'""",

@@ -13,9 +13,10 @@ from ..operators import (
     detail, discover, export, hierarchy, listing, lookup, merge, normalize, quality, runlog, stats,
 )
 from ..plans import refresh
-from ..session import spread, stage
+from ..session import new_folder, spread, stage
 from ..sources.catalog import Snapshot
-from ..sources.pages import read_pages, latest_versions
+from ..sources.pages import latest_versions, read_pages, stream_pages
+from ..streaming import ingest
 from . import shop, tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -916,6 +917,43 @@ def incremental_refresh(spark, d):
     )
 
 
+@query
+def incremental_new_pages(spark, d):
+    """The same where all pages landed on one day: products stored after it are not read again."""
+    at, day = datetime(2020, 2, 20), t.ts("2020-02-10 00:00:00")
+    pages = landed(spark, d).withColumn("landed_at", day)
+    out = refresh.incremental_refresh(pages, known_parts(spark, d), shop.RULES, at, since_days=20)
+    return out.merged.products.rows.select("slug", "name", "price", "updated_at", "change")
+
+
+def _land(spark, d, path: str, day: int) -> None:
+    """What a crawler lands on each of three days, old versions of pages among it."""
+    details, odd = shop.product_pages(spark, d), F.col("page_id") % 2 == 1
+    changed = details.withColumn("html", F.replace("html", F.lit("About "), F.lit("Now ")))
+    late = changed.withColumn("html", F.replace("html", F.lit("Now "), F.lit("Once ")))
+    rows = {
+        1: [(shop.home_page(spark, d), 1), (details.where(~odd), 1)],
+        2: [(shop.listing_pages(spark, d), 2), (late.where(~odd), 0)],
+        3: [(details.where(odd), 3), (changed.where(F.col("page_id") % 4 == 0), 3)],
+    }[day]
+    for pages, landed_on in rows:
+        stamped = pages.withColumn("landed_at", F.lit(datetime(2024, 1, 1 + landed_on)))
+        stamped.write.mode("append").parquet(path)
+
+
+@query
+def stream_incremental(spark, d):
+    """Three days of landed pages through the stream, and the catalogue after the last."""
+    root = new_folder(spark)
+    store = ingest.shop_store(spark, f"{root}/store", shop.RULES)
+    for day in (1, 2, 3):
+        _land(spark, d, f"{root}/land", day)
+        ingest.ingest_shop(stream_pages(spark, f"{root}/land", timed=True), store, shop.RULES, "shop", f"{root}/checkpoint",
+                           lambda day=day: datetime(2024, 1, 1 + day), listing_pages=None).awaitTermination()
+    return store.current().products.select(
+        "slug", "name", "price", "description", "category_slug", "brand_slug", "created_at", "updated_at")
+
+
 @query
 def category_refresh(spark, d):
     out = refresh.category_refresh(
