@@ -65,29 +65,60 @@ def url_origin(c: Column) -> Column:
     return F.regexp_extract(c, _ORIGIN, 1)
 
 
+def resolve_dots(path: Column, squeeze: bool = False) -> Column:
+    """A rooted path without ``.`` and ``..`` segments; ``..`` goes no higher than the root.
+
+    Segments are folded into a stack. ``squeeze`` also drops empty segments between others, as a
+    path has them that was put together.
+    """
+    parts = F.split(path, "/")
+    inner, last = F.slice(parts, F.lit(2), F.size(parts) - 1), F.element_at(parts, -1)
+    if squeeze:
+        inner = F.concat(F.filter(F.slice(inner, F.lit(1), F.size(inner) - 1), lambda x: x != ""), F.array(last))
+    stack = F.aggregate(
+        inner, F.array().cast("array<string>"),
+        lambda held, x: F.when(x == "..", F.slice(held, F.lit(1), F.greatest(F.size(held) - 1, F.lit(0))))
+        .when(x == ".", held).otherwise(F.concat(held, F.array(x))),
+    )
+    end = F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.lit("/"), F.array_join(F.concat(stack, end), "/"))
+
+
+def _tidy(path: Column, squeeze: bool = False) -> Column:
+    """Most paths have nothing to resolve and are left as they are."""
+    odd = path.rlike(r"/\.{1,2}(?:/|$)|//" if squeeze else r"/\.{1,2}(?:/|$)")
+    return F.when(odd, resolve_dots(path, squeeze)).otherwise(path)
+
+
+def _cut(c: Column) -> tuple[Column, Column]:
+    """The path of a link without scheme or host, and its query and fragment."""
+    return F.regexp_extract(c, "^([^?#]*)", 1), F.regexp_extract(c, "^[^?#]*(.*)$", 1)
+
+
 def absolute_url(base: Column, c: Column) -> Column:
     """Only rooted links are resolved; other relative links stay as they are."""
     scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.\\-]*:)", 1)
+    path, rest = _cut(c)
     return (
         F.when(F.startswith(c, F.lit("//")), F.concat(scheme, c))
-        .when(F.startswith(c, F.lit("/")), F.concat(url_origin(base), c))
+        .when(F.startswith(c, F.lit("/")), F.concat(url_origin(base), _tidy(path), rest))
         .otherwise(c)
     )
 
 
 def join_url(base: Column, c: Column) -> Column:
-    """Resolve any link against a base, as a browser would for links without ``..``."""
-    path = F.regexp_extract(base, _PATH, 1)
-    folder = F.regexp_replace(path, "[^/]*$", "")
+    """Resolve any link against a base, as a browser would."""
+    folder = F.regexp_replace(F.regexp_extract(base, _PATH, 1), "[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
     bare = F.regexp_extract(base, "^([^?#]*)", 1)
+    path, rest = _cut(c)
     return (
         F.when(c.rlike("^[A-Za-z][A-Za-z0-9+.\\-]*:"), c)
         .when(F.startswith(c, F.lit("/")), absolute_url(base, c))
         .when(F.startswith(c, F.lit("?")), F.concat(bare, c))
         .when(F.startswith(c, F.lit("#")), F.concat(F.regexp_extract(base, "^([^#]*)", 1), c))
         .when(c == "", base)
-        .otherwise(F.concat(url_origin(base), folder, c))
+        .otherwise(F.concat(url_origin(base), _tidy(F.concat(folder, path), squeeze=True), rest))
     )
 
 

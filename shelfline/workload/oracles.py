@@ -325,6 +325,17 @@ ORACLES: dict[str, str] = {
         ELSE regexp_extract(c, '^([^?#]*)', 1) END AS path FROM forms)
       SELECT page_id, form, coalesce(nullif(regexp_extract(path, '([^/]+)/*$', 1), ''), 'unknown') AS slug FROM paths""",
     "absolute_url": f"""WITH {FORMS} SELECT page_id, form, CASE form WHEN 1 THEN c ELSE url END AS out FROM forms""",
+    "relative_links": """WITH f AS (SELECT page_id, url, regexp_extract(url, '([^/]*)/*$', 1) AS last FROM pages),
+      c AS (SELECT page_id, url, unnest(range(9)) AS form, unnest([last, './' || last || '/..', '../' || last || '?a=../b', '../../../../' || last || '/.',
+          'a/./b/../' || last || '/../x/', '/x/../' || last || '/./y#/../z', 'a//' || last || '//../c', '..' || last, '/../' || last || '/']) AS c FROM f),
+      p AS (SELECT *, regexp_extract(c, '^([^?#]*)', 1) AS path, regexp_extract(c, '^[^?#]*(.*)$', 1) AS rest, c[1] = '/' AS rooted,
+          regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', '') AS folder FROM c),
+      s AS (SELECT *, string_split(CASE WHEN rooted THEN path ELSE coalesce(nullif(folder, ''), '/') || path END, '/')[2:] AS segs FROM p),
+      k AS (SELECT *, CASE WHEN rooted THEN segs ELSE list_concat(list_filter(segs[:-2], lambda x: x <> ''), segs[-1:]) END AS parts FROM s),
+      r AS (SELECT *, list_reduce(list_transform(parts, lambda x: [x]),
+          lambda held, x: CASE x[1] WHEN '..' THEN held[:len(held) - 1] WHEN '.' THEN held ELSE list_concat(held, x) END, []::VARCHAR[]) AS stack FROM k)
+      SELECT page_id, form::INT AS form, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/'
+        || array_to_string(list_concat(stack, CASE WHEN segs[-1] IN ('.', '..') THEN [''] ELSE []::VARCHAR[] END), '/') || rest AS out FROM r""",
     "normalize_price": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS from_text,
         CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS from_number FROM lineitem""",
     "parse_price_text": """SELECT o_orderkey, CASE WHEN o_totalprice < 1000000 THEN floor(o_totalprice) / CASE WHEN o_totalprice < 1000 THEN 1 ELSE 1000 END END AS plain,

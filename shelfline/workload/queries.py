@@ -383,6 +383,17 @@ def absolute_url(spark, d):
     )
 
 
+@query
+def relative_links(spark, d):
+    """Links of many shapes, resolved against the page they might stand on."""
+    last = F.regexp_extract("url", "([^/]*)/*$", 1)
+    forms = F.array(*[F.concat(F.lit(a), last, F.lit(b)) for a, b in (
+        ("", ""), ("./", "/.."), ("../", "?a=../b"), ("../../../../", "/."), ("a/./b/../", "/../x/"), ("/x/../", "/./y#/../z"),
+        ("a//", "//../c"), ("..", ""), ("/../", "/"))])
+    return pages(spark, d).select("page_id", "url", F.posexplode(forms).alias("form", "c")).select(
+        "page_id", "form", fields.join_url(F.col("url"), F.col("c")).alias("out"))
+
+
 def lines(spark, d, *cols) -> DataFrame:
     return t.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *cols

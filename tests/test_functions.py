@@ -140,3 +140,16 @@ def test_images_round_trip(spark):
     urls = ["/a", "http://b/c"]
     row = spark.range(1).select(fields.normalize_images(F.lit(json.dumps(urls))).alias("u")).first()
     assert row.u == urls
+
+
+def test_links_like_the_standard_library(spark):
+    from itertools import product
+    from urllib.parse import urljoin
+
+    bases = ["https://s.example", "https://s.example/", "https://s.example/a/b/c", "https://s.example/a/b/", "http://s.example/a?x=1/2#f"]
+    links = ["".join(p) for p in product(["", "/", "../", "./", "x/"], ["", "..", ".", "../..", "y/../z", "y//z", "a.b", "..c"], ["", "/", "/.", "/..", "?q=../1", "#/../f"])]
+    links = [x for x in links if x and not x.startswith("//")]
+    rows = spark.createDataFrame([*product(bases, links)], "base string, link string")
+    out = rows.select("*", fields.join_url(F.col("base"), F.col("link")).alias("out")).collect()
+    wrong = [(r.base, r.link, r.out, urljoin(r.base, r.link)) for r in out if r.out != urljoin(r.base, r.link)]
+    assert not wrong, wrong[:5]
