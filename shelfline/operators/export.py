@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.fields import sql_escape
 from ..functions.numbers import python_float_text
 from ..schemas import BRAND, CATEGORY, PRODUCT, TABLES
+from ..session import stage
 from . import hierarchy
 from .stats import side_by_side
 
@@ -282,6 +285,115 @@ def reconcile(written: DataFrame, categories: DataFrame, products: DataFrame) ->
     )
 
 
+_END = "\n);\n"  # of a statement
+_TOKENS = "'[^']*+'|,|[^',]++"
+
+
+def statement_bodies(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """``output, body``: what stands between the brackets of a table's statements in written dumps.
+
+    Files are cut at the ends of statements, so a task reads a share of a file. A text may hold
+    such an end as well; its pieces then have an odd number of quotes, and the few files with
+    such pieces are read whole and cut where an end is outside of quotes.
+    """
+    schema, head = "value string, output string", _head(table) + "\n"
+
+    # What comes before a statement, captions with apostrophes among it, does not count.
+    pieces = spark.read.schema(schema).text(path, lineSep=_END).withColumn("head", F.lit(head)).where("instr(value, head) > 0").select(
+        "output", F.col("_metadata.file_path").alias("file"),
+        F.expr("substr(value, length(head) + instr(value, head))").alias("body"))
+    quotes = F.length("body") - F.length(F.replace("body", F.lit("'"), F.lit("")))
+    odd = stage(pieces.where(quotes % 2 == 1).select("file").distinct())
+    if odd.isEmpty():
+        return pieces.select("output", "body")
+    plain = pieces.join(odd, "file", "left_anti").select("output", "body")
+    whole = spark.read.schema(schema).text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path")).join(odd, "file", "left_semi")
+    # Outside of quotes no value holds a bracket.
+    found = F.regexp_extract_all("value", F.lit(re.escape(head) + r"((?:[^')]++|'[^']*+')*+)\)"), F.lit(1))
+    return plain.unionByName(whole.select("output", F.explode(found).alias("body")))
+
+
+def literals(body: Column) -> Column:
+    """The values of a statement as ``array<struct<text, quoted>>``; doubled quotes are single ones."""
+    start = F.struct(F.array().cast("array<struct<text:string,quoted:boolean>>").alias("done"), F.lit("").alias("text"), F.lit(False).alias("quoted"))
+
+    def fold(held: Column, token: Column) -> Column:
+        one = F.struct(held["text"].alias("text"), held["quoted"].alias("quoted"))
+        inner = F.substr(token, F.lit(2), F.length(token) - 2)
+        more = F.concat(held["text"], F.when(held["quoted"], F.lit("'")).otherwise(""), inner)
+        bare = F.concat(held["text"], F.when(held["quoted"], F.lit("")).otherwise(F.regexp_replace(token, r"^\s+|\s+$", "")))
+        return (
+            F.when(token == ",", F.struct(F.concat(held["done"], F.array(one)).alias("done"), F.lit("").alias("text"), F.lit(False).alias("quoted")))
+            .when(F.startswith(token, F.lit("'")), F.struct(held["done"].alias("done"), more.alias("text"), F.lit(True).alias("quoted")))
+            .otherwise(F.struct(held["done"].alias("done"), bare.alias("text"), held["quoted"].alias("quoted")))
+        )
+
+    def finish(held: Column) -> Column:
+        return F.concat(held["done"], F.array(F.struct(held["text"].alias("text"), held["quoted"].alias("quoted"))))
+
+    return F.aggregate(F.regexp_extract_all(body, F.lit(_TOKENS), F.lit(0)), start, fold, finish)
+
+
+def _value(field: T.StructField, v: Column) -> Column:
+    """A field's value from its literal."""
+    text = F.when(v["quoted"] | (v["text"] != "NULL"), v["text"])
+    if field.name in ID_COLUMNS:
+        return text.cast("long")
+    if isinstance(field.dataType, T.BooleanType):
+        return text == "1"
+    if isinstance(field.dataType, T.TimestampType):
+        return F.to_timestamp(F.replace(text, F.lit("T"), F.lit(" ")))
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+    return text.cast(field.dataType)
+
+
+def read_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The rows of a table's statements in written dumps, with ``output`` and ``id``.
+
+    Columns have the types of the table; references are ids under the names they have in a dump.
+    """
+    rows = statement_bodies(spark, path, table).select("output", literals(F.col("body")).alias("v"))
+    columns = [F.get("v", i + 1) for i in range(len(TABLES[table]))]
+    return rows.select("output", F.get("v", F.lit(0))["text"].cast("long").alias("id"), *[
+        _value(f, v).alias(ID_COLUMNS.get(f.name, f.name)) for f, v in zip(TABLES[table], columns)])
+
+
+def _row_hash(table: str, as_written: bool) -> Column:
+    """Hash of a row's values, the same for a source row and for what a dump makes of it."""
+    parts = []
+    for f in TABLES[table]:
+        c = F.col(ID_COLUMNS.get(f.name, f.name) if as_written else f.name)
+        if f.name in ID_COLUMNS and not as_written:
+            c = F.when(c.isNotNull(), surrogate_id(c))
+        elif isinstance(f.dataType, T.StringType):
+            c = F.coalesce(c, F.lit(""))  # a dump does not tell them apart
+        elif isinstance(f.dataType, T.BooleanType):
+            c = F.coalesce(c, F.lit(False))
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.coalesce(c, F.array().cast("array<string>"))
+        parts += [c.isNull(), c]
+    return F.xxhash64(*parts)
+
+
+def reconcile_values(spark: SparkSession, path: str, categories: DataFrame, products: DataFrame) -> DataFrame:
+    """Per category: product rows in the source and in the written dumps, and whether they are equal.
+
+    Rows are rebuilt from the statements and compared as multisets: by their number and the sum
+    of their hashes.
+    """
+    def sums(rows: DataFrame, key: str, h: Column, name: str) -> DataFrame:
+        total = F.sum(h.cast("decimal(38,0)"))
+        return rows.groupBy(F.col(key).alias("slug")).agg(F.count("*").alias(f"n_{name}"), total.alias(f"h_{name}"))
+
+    known = categories.select(F.col("slug").alias("category_slug"))
+    source = sums(products.join(known, "category_slug", "left_semi"), "category_slug", _row_hash("products", False), "source")
+    found = sums(read_rows(spark, path, "products"), "output", _row_hash("products", True), "written")
+    n_source, n_written = F.coalesce("n_source", F.lit(0)), F.coalesce("n_written", F.lit(0))
+    return source.join(found, "slug", "full_outer").select(
+        "slug", n_source.alias("n_source"), n_written.alias("n_written"), F.col("h_source").eqNullSafe(F.col("h_written")).alias("is_equal"))
+
+
 def reconcile_totals(result: DataFrame) -> DataFrame:
     return result.agg(
         F.count("*").alias("total_files"),

@@ -868,6 +868,19 @@ def export_reconcile(spark, d):
     return export.reconcile(dumps(spark, d), t.categories(spark, d), t.products(spark, d))
 
 
+@query
+def export_values(spark, d):
+    """The product rows of written dumps, read back from the text of their statements."""
+    path = new_folder(spark)
+    export.write_dumps(dumps(spark, d), path)
+    rows = export.read_rows(spark, path, "products")
+    equal = export.reconcile_values(spark, path, t.categories(spark, d), t.products(spark, d))
+    return rows.join(equal.select(F.col("slug").alias("output"), "n_source", "n_written", "is_equal"), "output").select(
+        "output", "slug", "name", "url", "description", "price", "original_price", "sku", "availability", "rating",
+        "review_count", "image_url", joined(F.col("images")).alias("images"), "is_new", "is_sale", "created_at", "updated_at",
+        F.col("category_id").isNotNull().alias("has_category"), "n_source", "n_written", "is_equal")
+
+
 @query
 def export_orphans(spark, d):
     """Parts whose category the tree has lost: here all below one nation."""

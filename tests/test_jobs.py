@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from shelfline.operators import export, hierarchy, runlog
+from shelfline.operators import export, hierarchy, lookup, runlog
 from shelfline.plans import refresh
 from shelfline.schemas import CATEGORY, PAGE, TABLES
 from shelfline.sources.catalog import CatalogStore
@@ -155,6 +155,28 @@ def test_export_of_everything(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/summary").first().exported_products == held
 
 
+def test_dumps_read_back_value_by_value(spark, tmp_path):
+    odd = ["it's", "''", "a,\n    'b',\n);\nINSERT OR REPLACE INTO products", "NULL", "", "x\n);\n", "(1, 'a')", "'" * 500, "tail'"]
+    plain = t.products(spark, SMALL).where("slug LIKE '%1%'")
+    texts = F.array(*[F.lit(x) for x in odd])
+    prods = plain.withColumn("description", F.get(texts, F.pmod(F.xxhash64("slug"), F.lit(len(odd))).cast("int"))).withColumn(
+        "images", F.when(F.length("slug") % 2 == 0, F.array(F.lit("/i/'x',"), F.lit("b"))).otherwise(F.array().cast("array<string>")))
+    prods = prods.withColumn("rating", F.when(F.col("rating") > 2, F.col("rating") / 3)).withColumn("brand_slug", F.when(F.col("is_sale"), F.col("brand_slug")))
+    cats, path = t.categories(spark, SMALL), str(tmp_path / "dumps")
+    prods = lookup.missing(prods, hierarchy.orphans(cats, prods), "slug")
+    prods = spark.createDataFrame(prods.collect(), prods.schema)
+    export.write_dumps(export.dump_lines(cats, t.brands(spark, SMALL), prods, F.lit(NOW)), path, partitions=3)
+    columns = ["slug", "name", "description", "price", "original_price", "rating", "review_count", "images", "is_sale", "updated_at"]
+    got = {r.slug: r for r in export.read_rows(spark, path, "products").select(*columns).collect()}
+    assert got == {r.slug: r for r in prods.select(*columns).collect()}
+    result = export.reconcile_values(spark, path, cats, prods)
+    assert result.where("NOT is_equal").isEmpty() and result.agg(F.sum("n_written")).first()[0] == prods.count()
+    one = prods.first().slug
+    other = prods.withColumn("description", F.when(F.col("slug") == one, "changed").otherwise(F.col("description")))
+    wrong = export.reconcile_values(spark, path, cats, other).where("NOT is_equal").collect()
+    assert [r.n_source == r.n_written for r in wrong] == [True]  # the counts alone would not tell
+
+
 def test_retention(spark):
     events = runlog.event(spark, "a", datetime(2024, 1, 1), "running").union(
         runlog.event(spark, "a", datetime(2024, 3, 1), "completed")).union(
