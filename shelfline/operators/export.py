@@ -364,8 +364,8 @@ def _row_hash(table: str, as_written: bool) -> Column:
     parts = []
     for f in TABLES[table]:
         c = F.col(ID_COLUMNS.get(f.name, f.name) if as_written else f.name)
-        if f.name in ID_COLUMNS and not as_written:
-            c = F.when(c.isNotNull(), surrogate_id(c))
+        if f.name in ID_COLUMNS:
+            c = c if as_written else F.when(c.isNotNull(), surrogate_id(c))
         elif isinstance(f.dataType, T.StringType):
             c = F.coalesce(c, F.lit(""))  # a dump does not tell them apart
         elif isinstance(f.dataType, T.BooleanType):
