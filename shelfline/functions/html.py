@@ -36,7 +36,7 @@ NAMED_TAGS = frozenset("a h1 h2 h3 img nav header ul li tr td th title article".
 
 NODE_TYPE = (
     "struct<pre:int,post:int,start:int,stop:int,tag:string,classes:array<string>,"
-    "attrs:map<string,string>,lone_text:boolean,script:string>"
+    "attrs:map<string,string>,lone_text:boolean,script:string,up:array<int>>"
 )
 PAGE_TYPE = f"struct<text:string,nodes:array<{NODE_TYPE}>>"
 
@@ -89,7 +89,8 @@ class _PageReader(HTMLParser):
                 found[key] = " ".join(found[key].split())
             classes = found.get("class", "").split()
             at = len(self.nodes)
-            node = [at, at, self.length, self.length, tag, classes, found, False, None]
+            up = [n[0] for _, n, _ in self.open if n is not None]  # the listed elements around it
+            node = [at, at, self.length, self.length, tag, classes, found, False, None, up]
             self.nodes.append(node)
         self.open.append((tag, node, [0, False]))
         self.hidden += tag in HIDDEN_TEXT
@@ -156,12 +157,16 @@ def _nodes_to_arrow(pages: list[list[list] | None]) -> pa.Array:
     for nodes in pages:
         flat.extend(nodes or ())
         offsets.append(len(flat))
-    columns = list(zip(*flat)) if flat else [()] * 9
+    columns = list(zip(*flat)) if flat else [()] * 10
     ints = [pa.array(column, pa.int32()) for column in columns[:4]]
     class_ends, classes = [0], []
     for names in columns[5]:
         classes.extend(names)
         class_ends.append(len(classes))
+    up_ends, up = [0], []
+    for around in columns[9]:
+        up.extend(around)
+        up_ends.append(len(up))
     attr_ends, keys, values = [0], [], []
     for found in columns[6]:
         keys.extend(found.keys())
@@ -175,8 +180,9 @@ def _nodes_to_arrow(pages: list[list[list] | None]) -> pa.Array:
         ),
         pa.array(columns[7], pa.bool_()),
         pa.array(columns[8], pa.string()),
+        pa.ListArray.from_arrays(pa.array(up_ends, pa.int32()), pa.array(up, pa.int32())),
     ]
-    names = ["pre", "post", "start", "stop", "tag", "classes", "attrs", "lone_text", "script"]
+    names = ["pre", "post", "start", "stop", "tag", "classes", "attrs", "lone_text", "script", "up"]
     return pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names)
     )

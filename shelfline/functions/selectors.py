@@ -110,12 +110,21 @@ class Scope:
     shift: str | None = None
     root: str | None = None
 
+    def _around(self, n: str) -> str:
+        """The elements around ``n``, by their places; nothing else is looked at.
+
+        Below a ``root`` the list begins with the elements around the root, then the root.
+        """
+        if self.root is None:
+            return f"transform({n}.up, i -> get({self.nodes}, i))"
+        place = f"IF(i < {self.root}.pre, j, size({self.root}.up) + i - {self.root}.pre)"
+        return f"transform({n}.up, (i, j) -> get({self.nodes}, {place}))"
+
     def _fits(self, n: str, r: str) -> str:
         hit = (
-            f"({_fits_itself(n, r)} AND (size({r}.outer) = 0 OR exists({self.nodes}, a ->"
-            f" a.pre < {n}.pre AND a.post >= {n}.pre AND {_fits_itself('a', f'{r}.outer[0]')}"
-            f" AND (size({r}.outer) = 1 OR exists({self.nodes}, b ->"
-            f" b.pre < a.pre AND b.post >= a.pre AND {_fits_itself('b', f'{r}.outer[1]')})))))"
+            f"({_fits_itself(n, r)} AND (size({r}.outer) = 0 OR exists({self._around(n)}, a ->"
+            f" {_fits_itself('a', f'{r}.outer[0]')}"
+            f" AND (size({r}.outer) = 1 OR exists({self._around('a')}, b -> {_fits_itself('b', f'{r}.outer[1]')})))))"
         )
         if self.root is None:
             return hit

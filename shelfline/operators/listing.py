@@ -135,7 +135,7 @@ def card_slices(where: Scope, rules: CardRules) -> Column:
     found, nodes, text = where.all_by_rank(rules.cards), F.col(where.nodes), F.col(where.text)
 
     def cut(c: Column) -> Column:
-        around = F.filter(nodes, lambda n: (n["pre"] < c["pre"]) & (n["post"] >= c["post"]))
+        around = F.transform(c["up"], lambda i: F.get(nodes, i))
         inner = F.slice(nodes, c["pre"] + 1, c["post"] - c["pre"] + 1)
         return F.struct(
             c.alias("card"),
