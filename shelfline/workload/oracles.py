@@ -427,10 +427,10 @@ ORACLES: dict[str, str] = {
     # Hierarchy and joins
     "products_enriched": f"""WITH {CATS}, {PRODS}, {BRANDS} SELECT p.slug, category_slug, c.name AS category_name, brand_slug, b.name AS brand_name
       FROM prods p LEFT JOIN cats c ON p.category_slug = c.slug LEFT JOIN brands b ON p.brand_slug = b.slug""",
-    "export_values": f"""WITH {PRODS} SELECT category_slug AS output, slug, name, '/p/' || slug AS url, description, price, original_price, sku, availability, rating,
+    "export_values": f"""WITH {CATS}, {PRODS} SELECT category_slug AS output, slug, name, '/p/' || slug AS url, description, price, original_price, sku, availability, rating,
         review_count, image_url, '/i/' || slug || '.jpg' AS images, is_new, is_sale, {CREATED} AS created_at, updated_at, true AS has_category,
         count(*) OVER (PARTITION BY category_slug) AS n_source, count(*) OVER (PARTITION BY category_slug) AS n_written, true AS is_equal
-      FROM prods""",
+      FROM prods WHERE category_slug IN (SELECT slug FROM cats)""",
     "export_orphans": f"""WITH {CATS}, {PRODS} SELECT category_slug, count(*) AS n_products FROM prods
       WHERE category_slug NOT IN (SELECT slug FROM cats WHERE slug NOT LIKE 'nation_3-%') GROUP BY category_slug""",
     "brands_of_category": f"WITH {PRODS}, {BRANDS} SELECT slug, name FROM brands WHERE slug IN (SELECT brand_slug FROM prods WHERE category_slug = 'nation_3')",
