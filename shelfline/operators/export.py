@@ -117,7 +117,7 @@ def schema_lines(spark: SparkSession) -> DataFrame:
     )
 
 
-def _membership(categories: DataFrame, products: DataFrame, subtree: bool) -> DataFrame:
+def _membership(categories: DataFrame, products: DataFrame, subtree: bool, paths: DataFrame) -> DataFrame:
     """Products with the output they go to: their own category's, or every ancestor's too.
 
     A product of an unknown category goes nowhere; ``export_orphans`` counts those.
@@ -125,7 +125,7 @@ def _membership(categories: DataFrame, products: DataFrame, subtree: bool) -> Da
     if not subtree:
         known = categories.select(F.col("slug").alias("category_slug"))
         return products.join(known, "category_slug", "left_semi").withColumn("output", F.col("category_slug"))
-    return hierarchy.subtree_products(categories, products).withColumnRenamed("root", "output")
+    return hierarchy.subtree_products(categories, products, paths).withColumnRenamed("root", "output")
 
 
 def dump_lines(categories: DataFrame, brands: DataFrame, products: DataFrame, exported_at: Column,
@@ -137,7 +137,8 @@ def dump_lines(categories: DataFrame, brands: DataFrame, products: DataFrame, ex
     then adds the sub-categories the products refer to. ``outputs`` (slug) limits what is
     written.
     """
-    members = _membership(categories, products, subtree)
+    paths = hierarchy.closure(categories)
+    members = _membership(categories, products, subtree, paths)
     if outputs is not None:
         members = members.join(outputs.select(F.col("slug").alias("output")), "output", "left_semi")
     # Direct products per category are counted before any join.
@@ -168,11 +169,11 @@ def dump_lines(categories: DataFrame, brands: DataFrame, products: DataFrame, ex
         )).alias("r"),
     ).select("output", "r.section", "r.slug", "r.n", "r.line")
 
-    chain = hierarchy.ancestors(categories).select(
+    chain = hierarchy.ancestors(categories, paths).select(
         F.col("slug").alias("output"), F.col("ancestor").alias("slug"), F.col("step").alias("n")
     )
     if subtree and include_descendants:
-        below = hierarchy.closure(categories).where("depth > 0").select(
+        below = paths.where("depth > 0").select(
             F.col("root").alias("output"), "slug", (F.col("depth") + 1000).alias("n")
         )
         chain = chain.unionByName(below)

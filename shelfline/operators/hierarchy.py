@@ -46,11 +46,14 @@ def subtree(categories: DataFrame, slug: str) -> DataFrame:
     return closure(categories).where(F.col("root") == slug).select("slug", "depth")
 
 
-def ancestors(categories: DataFrame) -> DataFrame:
-    """(slug, ancestor, step): step 0 is the root, the last step the category itself."""
+def ancestors(categories: DataFrame, paths: DataFrame | None = None) -> DataFrame:
+    """(slug, ancestor, step): step 0 is the root, the last step the category itself.
+
+    ``paths`` is the closure, where it is known already.
+    """
     # A window over one category's chain holds as many rows as the tree has levels.
     levels = F.max("depth").over(Window.partitionBy("slug"))
-    return closure(categories).select(
+    return (closure(categories) if paths is None else paths).select(
         "slug", F.col("root").alias("ancestor"), (levels - F.col("depth")).alias("step")
     )
 
@@ -74,12 +77,13 @@ def direct_counts(categories: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def subtree_products(categories: DataFrame, products: DataFrame) -> DataFrame:
+def subtree_products(categories: DataFrame, products: DataFrame, paths: DataFrame | None = None) -> DataFrame:
     """(root, products' columns): each product once per category that holds it, at any depth.
 
-    Products of unknown categories are in no subtree; ``orphans`` has them.
+    Products of unknown categories are in no subtree; ``orphans`` has them. ``paths`` is the
+    closure, where it is known already.
     """
-    tree = closure(categories).select("root", F.col("slug").alias("category_slug"))
+    tree = (closure(categories) if paths is None else paths).select("root", F.col("slug").alias("category_slug"))
     return products.join(tree, "category_slug")
 
 
