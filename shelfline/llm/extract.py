@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -40,10 +41,10 @@ WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hash", "furniture")
+    __slots__ = ("tag", "attrs", "children", "hash", "words", "linked", "furniture")
 
     def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children, self.hash = tag, attrs, [], 0
+        self.tag, self.attrs, self.children, self.hash, self.words, self.linked = tag, attrs, [], 0, 0, 0
         names = {w.lower() for k in ("class", "id") for w in WORD.findall(attrs.get(k) or "")}
         role = (attrs.get("role") or "").lower()
         hidden = "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true" or \
@@ -62,12 +63,19 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", {})
         self.open = [self.root]
+        self.n_open: Counter[str] = Counter()  # by tag, so that a deep page is not searched in vain
+
+    def _close_from(self, i: int) -> None:
+        self.n_open.subtract(n.tag for n in self.open[i:])
+        del self.open[i:]
 
     def _close_open(self, tags: tuple[str, ...] | frozenset, within: tuple[str, ...]) -> None:
+        if not any(self.n_open[t] for t in tags):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i].tag
             if tag in tags:
-                del self.open[i:]
+                self._close_from(i)
                 return
             if tag in within:
                 return
@@ -82,14 +90,17 @@ class Tree(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # "/>" means nothing on an element that is not void
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.n_open[tag]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                del self.open[i:]
+                self._close_from(i)
                 return
 
     def handle_data(self, data: str) -> None:
@@ -104,7 +115,8 @@ def parse(html: str) -> Node:
 
 
 def hash_subtrees(node: Node) -> list[Node]:
-    """Give each element a 64-bit hash of its tag and all below it; elements, children first."""
+    """Give each element a 64-bit hash of its tag and all below it, and its numbers of words and of
+    words in links; elements, children first."""
     order, todo = [], [node]
     while todo:
         n = todo.pop()
@@ -113,7 +125,14 @@ def hash_subtrees(node: Node) -> list[Node]:
     order.reverse()
     for n in order:
         parts = [n.tag, *(f"<{c.hash}>" if isinstance(c, Node) else " ".join(c.split()) for c in n.children)]
-        n.hash = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace")) - (1 << 63)
+        n.hash = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace")) - (1 << 63) & ~1
+        for c in n.children:
+            if isinstance(c, Node):
+                n.words, n.linked = n.words + c.words, n.linked + c.linked
+            else:
+                n.words += len(c.split())
+        if n.tag == "a":
+            n.linked = n.words
     return order
 
 
@@ -142,52 +161,54 @@ def _dropped(node: Node, rooted: bool) -> bool:
     return node.furniture and node.tag not in ("html", "body")
 
 
-def blocks(page: Node) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """Text blocks of the main part with the hashes of the subtrees they hang in, and all candidates.
+def blocks(page: Node) -> tuple[list[str], list[tuple[int, int, int]], list[int]]:
+    """Text blocks of the main part, the candidates for the host's template there, and all subtrees
+    that count.
 
-    A candidate for the host's template is an element that holds more than one text block's
-    text: inside an article its paragraphs are none, for a quoted passage or a copied article
-    is not a template. Where a page marks no article, every block element is a candidate.
+    A candidate is ``(id, first, last)``: its subtree holds the blocks from ``first`` up to, not
+    including, ``last``. The id is the subtree's hash, whose lowest bit is free and set for elements
+    of an article that are not link lists: those must recur on a larger share of the host's pages.
+    Paragraphs, headings, list items, quotations and cells of an article are no candidates, for a
+    quoted passage or a copied article is not a template. Where a page marks no article, every
+    block element is one. A page's work grows with its size, whatever its depth.
     """
     hash_subtrees(page)
     roots = content_roots(page)
     rooted = roots[0] is not page
-    out: list[tuple[str, list[int]]] = []
+    out: list[str] = []
+    spans: list[tuple[int, int, int]] = []
     buffer: list[str] = []
-    path: list[int] = []
 
     def flush() -> None:
         text = " ".join("".join(buffer).split())
         buffer.clear()
         if text:
-            out.append((text, [*path]))
+            out.append(text)
 
     for root in roots:
-        stack: list = [(root, 0)]
+        stack: list = [(root, -1)]
         while stack:
-            item, state = stack.pop()
+            item, first = stack.pop()
             if isinstance(item, str):
                 buffer.append(item)
                 continue
-            if state == 0:
+            if first < 0:
                 if item is not root and _dropped(item, rooted):
                     continue
                 if item.tag == "br":
                     buffer.append(" ")
                     continue
-                block = item.tag not in INLINE
-                if block:
+                if item.tag not in INLINE:
                     flush()
-                    if _candidate(item, root, rooted):
-                        path.append(item.hash)
-                    stack.append((item, 1))
-                stack += [(c, 0) for c in reversed(item.children)]
+                    stack.append((item, len(out)))
+                stack += [(c, -1) for c in reversed(item.children)]
             else:
                 flush()
-                if _candidate(item, root, rooted):
-                    path.pop()
+                if first < len(out) and _candidate(item, root, rooted):
+                    links = 2 * item.linked >= item.words
+                    spans.append((item.hash | (rooted and not links), first, len(out)))
         flush()
-    seen = {h for _, p in out for h in p}
+    seen = {i & ~1 for i, _, _ in spans}
     todo = [page]
     while todo:  # furniture found by its tag or name recurs as well
         node = todo.pop()
@@ -195,84 +216,78 @@ def blocks(page: Node) -> tuple[list[tuple[str, list[int]]], list[int]]:
             seen.add(node.hash)
         elif node not in roots:
             todo += [c for c in node.children if isinstance(c, Node)]
-    return out, sorted(seen)
+    return out, spans, sorted(seen)
 
 
 def _candidate(node: Node, root: Node, rooted: bool) -> bool:
     if node is root or node.tag in ("html", "body", "head"):
         return False
-    if not rooted:
-        return True
-    if node.tag in TEXT_BLOCKS or node.tag in ("header", "section", "article", "main"):
-        return False
-    words = linked = 0
-    todo: list = [(node, False)]
-    while todo:
-        item, link = todo.pop()
-        if isinstance(item, str):
-            n = len(item.split())
-            words, linked = words + n, linked + n * link
-        else:
-            todo += [(c, link or item.tag == "a") for c in item.children]
-    return 2 * linked >= words > 0
+    return not rooted or node.tag not in TEXT_BLOCKS and not node.content
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Pages as blocks: ``page_id, url, host, body, texts, paths, subtrees``."""
-    kind = pa.list_(pa.list_(pa.int64()))
+    """Pages as blocks: ``page_id, url, host, body, texts, spans, subtrees``."""
+    span = pa.struct([("id", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, paths, subtrees, bodies = [], [], [], []
+            texts, spans, subtrees, bodies = [], [], [], []
             for html in batch["html"].to_pylist():
-                found, candidates = blocks(parse(html))
-                texts.append([t for t, _ in found])
-                paths.append([p for _, p in found])
-                subtrees.append(candidates)
-                bodies.append(xxhash.xxh64_intdigest("\n".join(texts[-1]).encode("utf-8", "replace")) - (1 << 63))
+                found, candidates, seen = blocks(parse(html))
+                texts.append([t.encode("utf-8", "replace").decode() for t in found])
+                spans.append([dict(zip(("id", "first", "last"), c)) for c in candidates])
+                subtrees.append(seen)
+                bodies.append(xxhash.xxh64_intdigest("\n".join(texts[-1]).encode()) - (1 << 63))
             yield pa.RecordBatch.from_arrays([
-                batch["page_id"], batch["url"], pa.array(bodies, pa.int64()),
-                pa.array([[x.encode("utf-8", "replace").decode() for x in t] for t in texts], pa.list_(pa.string())),
-                pa.array(paths, kind), pa.array(subtrees, pa.list_(pa.int64())),
-            ], ["page_id", "url", "body", "texts", "paths", "subtrees"])
+                batch["page_id"], batch["url"], pa.array(bodies, pa.int64()), pa.array(texts, pa.list_(pa.string())),
+                pa.array(spans, pa.list_(span)), pa.array(subtrees, pa.list_(pa.int64())),
+            ], ["page_id", "url", "body", "texts", "spans", "subtrees"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    schema = "page_id long, url string, body long, texts array<string>, paths array<array<long>>, subtrees array<long>"
+    schema = "page_id long, url string, body long, texts array<string>, " \
+             "spans array<struct<id: long, first: int, last: int>>, subtrees array<long>"
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
     return rows.mapInArrow(run, schema).withColumn("host", host)
 
 
-def templates(pages: DataFrame, min_pages: int = 10, min_share: float = 0.1) -> DataFrame:
-    """``host, subtree``: subtrees on at least ``min_pages`` and ``min_share`` of a host's pages.
+def templates(pages: DataFrame, min_pages: int = 10, min_share: float = 0.1, article_share: float = 0.5) -> DataFrame:
+    """``host, subtree, common``: subtrees on at least ``min_pages`` and ``min_share`` of a host's
+    pages; ``common`` are those on at least ``article_share`` of them.
 
     Pages of a host with the same text count once, so copies of a page make no template.
     """
     different = pages.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     seen = pages.select("host", "body", F.explode("subtrees").alias("subtree")).distinct()
     counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    return counts.join(different, "host").where(F.col("n") >= min_share * F.col("n_pages")).select("host", "subtree")
+    return counts.join(different, "host").where(F.col("n") >= min_share * F.col("n_pages")).select(
+        "host", "subtree", (F.col("n") >= article_share * F.col("n_pages")).alias("common")
+    )
 
 
-def main_text(pages: DataFrame, min_pages: int = 10, min_share: float = 0.1) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = 10, min_share: float = 0.1, article_share: float = 0.5) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
     Scripts, forms, navigation and named furniture go by their tags, roles and names; then
-    every remaining block goes that hangs in a subtree the host repeats (``templates``). The
-    rest is joined in page order, white space inside a block as one space. Null and empty pages
-    have an empty text; pages without a host in their url share one; repeated rows are
-    extracted one by one; other columns are ignored.
+    every remaining block goes that hangs in a subtree the host repeats (``templates``): inside
+    an article on ``article_share`` of its pages, for link lists and where no article is marked
+    on ``min_share``. The rest is joined in page order, white space inside a block as one space.
+    Null and empty pages have an empty text; pages without a host in their url share one;
+    repeated rows are extracted one by one; other columns are ignored.
     """
     rows = stage(parsed(pages), "pages")
-    found = stage(templates(rows, min_pages, min_share), "templates")
-    held = rows.where(F.size(F.flatten("paths")) > 0).select(
-        "host", F.xxhash64("page_id", "url", "body").alias("key"), F.explode(F.array_distinct(F.flatten("paths"))).alias("subtree")
+    found = stage(templates(rows, min_pages, min_share, article_share), "templates")
+    key = F.xxhash64("page_id", "url", "body", "spans")
+    held = rows.where(F.size("spans") > 0).select("host", key.alias("key"), F.explode("spans").alias("span")).select(
+        "host", "key", "span", F.col("span.id").bitwiseAND(F.lit(-2)).alias("subtree")
+    )
+    wide = F.col("common") | (F.col("span.id").bitwiseAND(F.lit(1)) == 0)
+    gone = held.join(found, ["host", "subtree"]).where(wide).groupBy("key").agg(
+        F.collect_set(F.struct("span.first", "span.last")).alias("gone")
     )
-    gone = held.join(found, ["host", "subtree"], "left_semi").groupBy("key").agg(F.collect_set("subtree").alias("gone"))
     gone = stage(gone, "gone")  # of known size: where few pages lose something, no text is shuffled
-    both = rows.withColumn("key", F.xxhash64("page_id", "url", "body")).join(gone, "key", "left")
-    left = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(F.transform(
-        F.filter(F.arrays_zip("texts", "paths"), lambda b: ~F.arrays_overlap(b["paths"], F.col("gone"))),
-        lambda b: b["texts"],
+    both = rows.withColumn("key", key).join(gone, "key", "left")
+    left = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(F.filter(
+        "texts", lambda t, i: ~F.exists("gone", lambda g: (g["first"] <= i) & (i < g["last"]))
     ))
     text = F.array_join(left, "\n")
     return both.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))

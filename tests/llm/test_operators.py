@@ -334,7 +334,7 @@ def test_katz_without_training(spark, empty):
 
 
 def page_blocks(html):
-    return "\n".join(t for t, _ in extract.blocks(extract.parse(html))[0])
+    return "\n".join(extract.blocks(extract.parse(html))[0])
 
 
 @pytest.mark.parametrize("html, text", [
@@ -367,6 +367,44 @@ def test_templates_go_and_copies_stay(spark):
     assert extract.main_text(frame.limit(0)).count() == 0
 
 
+def test_counts_delete_unnamed_notices_inside_articles(spark):
+    """Against a plain count: boxes without a telling name on a share of a host's pages."""
+    def page(host, n):
+        own = f"<p>Story {n} {prose(15)}</p><p>{PASSAGE}</p><blockquote>Quoted everywhere</blockquote>"
+        boxes = {"all": "<div><p>Join our readers</p><p>Today only</p></div>",
+                 "half": "<table><tr><td>Open</td><td>daily</td></tr></table>" if n % 2 else "",
+                 "third": "<section><p>A series of three</p></section>" if n % 3 == 0 else "",
+                 "list": "<ul><li><a href=x>next story</a></li></ul>" if n % 5 == 0 else ""}
+        return "".join(["<article><h1>Daily</h1>", own, *boxes.values(), "</article>"]) if host == "many" else \
+            f"<article>{own}{boxes['all']}</article>"
+
+    rows = [(n, f"https://many.example/{n}", page("many", n)) for n in range(100)]
+    rows += [(500 + n, f"https://few.example/{n}", page("few", n)) for n in range(9)]
+    got = {r.page_id: r.text.split("\n") for r in extract.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(100):
+        want = ["Daily", got[n][1], PASSAGE, "Quoted everywhere"]
+        assert got[n] == want + (["A series of three"] if n % 3 == 0 else [])
+        assert got[n][1].startswith(f"Story {n} ")
+    for n in range(9):  # too few pages to tell
+        assert got[500 + n][-2:] == ["Join our readers", "Today only"]
+
+
+def test_deep_and_long_pages_take_time_by_their_size():
+    import time
+
+    def took(html):
+        start = time.perf_counter()
+        out = extract.blocks(extract.parse(html))
+        return time.perf_counter() - start, out
+
+    for n in (20_000, 40_000):
+        seconds, (texts, spans, _) = took("<article>" + "<div>word " * n + "</div>" * n + "</article>")
+        assert len(texts) == len(spans) == n and seconds < n / 8_000
+        seconds, (texts, _, _) = took("<span>" * n + "<li>x</b>" * n)
+        assert len(texts) == n and seconds < n / 4_000
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     import html as h
