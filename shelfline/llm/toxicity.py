@@ -19,17 +19,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import documents, free_name
+from .common import documents, free_name, stage
 
 EDGES = b".,;:!?\"'()[]{}<>|*&%$#@-_/\\"
 CACHE_WORDS = 150_000
 CHUNK = 50_000  # words whose features are worked out at a time
+TASKS = 8  # that count the evidence of the bounded sample
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``max_rows`` bounds the labelled rows of each class that are learned from, and
-    ``bag`` the windows of each of them; scoring reads every window of every text."""
+    """``max_rows`` bounds the labelled rows of each class that are learned from. Of each of them
+    all words count as evidence, and the ``bag`` windows with the most of it teach the network;
+    scoring reads every window of every text."""
 
     window: int = 64
     stride: int = 52
@@ -260,35 +262,76 @@ class Sample:
         inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         return self.slots[ids], self.grams[np.repeat(self.at[ids], size) + inner], np.r_[0, np.cumsum(size)]
 
-    def texts_with(self, of_word: np.ndarray, owner: np.ndarray, slots: int) -> np.ndarray:
-        """How many clean and how many toxic texts have each slot, (2, slots)."""
-        counts = np.zeros((2, slots), np.int64)
-        ends = np.searchsorted(self.bag, np.arange(100, self.bag[-1] + 101, 100))
-        for low, high in zip(np.r_[0, ends[:-1]], ends):  # some texts at a time
-            mask = self.mask[low:high].ravel()
-            bags = np.repeat(self.bag[low:high], self.index.shape[1])[mask]
-            pairs = np.unique(bags * np.int64(len(self.slots)) + self.index[low:high].ravel()[mask])
-            bags, words = pairs // len(self.slots), pairs % len(self.slots)
-            first = np.searchsorted(owner, words)
-            size = np.searchsorted(owner, words, "right") - first
-            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            flat = np.unique(np.repeat(bags, size) * slots + of_word[np.repeat(first, size) + inner])
-            toxic = self.label[flat // slots] > 0
-            for t in (0, 1):
-                counts[t] += np.bincount(flat[toxic == t] % slots, minlength=slots)
-        return counts
-
-    def odds(self, counts: np.ndarray, shrink: float) -> np.ndarray:
-        """Log odds of toxic texts against their share; what few texts have is drawn to zero."""
-        share = np.array([(self.label == 0).mean(), (self.label == 1).mean()])
-        ratio = (np.maximum(counts, 0) + shrink) / (counts.sum(axis=0).clip(0) * share[:, None] + shrink)
-        return (np.log(ratio[1]) - np.log(ratio[0])).astype(np.float32)
-
-
-def fit(bags: list[tuple[int, list[list[bytes]]]], base_rate: float, s: Settings = Settings()) -> Network:
+
+@dataclass(frozen=True)
+class Evidence:
+    """How many clean and how many toxic texts have each slot of words and n-grams, (2, slots)."""
+
+    texts: np.ndarray
+    words: np.ndarray
+    grams: np.ndarray
+
+    def odds(self, shrink: float, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of toxic texts against their share; what few texts have is drawn to zero.
+
+        ``without`` takes a text of that label out of its own evidence.
+        """
+        own = np.zeros((2, 1)) if without is None else np.eye(2)[without][:, None]
+        share = self.texts[:, None] / max(1, self.texts.sum())
+        out = []
+        for counts in (self.words - own, self.grams - own):
+            ratio = (np.maximum(counts, 0) + shrink) / (counts.sum(axis=0).clip(0) * share + shrink)
+            out.append((np.log(ratio[1]) - np.log(ratio[0])).astype(np.float32))
+        return out[0], out[1]
+
+
+def count_evidence(sample: DataFrame, s: Settings) -> Evidence:
+    """Evidence of whole texts ``label, text``; one array of fixed size a task goes to the driver."""
+    sizes = (2, 2 * s.word_slots, 2 * s.gram_slots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, words, grams = (np.zeros((2, n // 2), np.int32) for n in sizes)
+        for batch in batches:
+            for label, text in zip(batch["label"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
+                own = [*dict.fromkeys(split(text))]
+                found = [features(own[i:i + CHUNK], s)[:2] for i in range(0, len(own), CHUNK)]
+                if found:
+                    texts[label] += 1
+                    for counts, slots in zip((words, grams), zip(*found)):
+                        counts[label, np.unique(np.concatenate(slots))] += 1
+        flat = zlib.compress(np.concatenate([x.ravel() for x in (texts, words, grams)]).tobytes(), 1)
+        yield pa.RecordBatch.from_pydict({"counts": pa.array([flat], pa.binary())})
+
+    total = np.zeros(sum(sizes), np.int64)
+    for row in sample.coalesce(TASKS).mapInArrow(run, "counts binary").toLocalIterator():
+        total += np.frombuffer(zlib.decompress(row.counts), np.int32)
+    texts, words, grams = (x.reshape(2, -1) for x in np.split(total, np.cumsum(sizes)[:-1]))
+    return Evidence(texts[:, 0], words, grams)
+
+
+def teaching_windows(words: list[bytes], odds: tuple[np.ndarray, np.ndarray], s: Settings) -> list[int]:
+    """Starts of a text's windows; of more than ``bag``, those whose words speak most for toxic."""
+    starts = window_starts(len(words), s.window, s.stride)
+    if len(starts) <= s.bag:
+        return starts
+    value, own = {}, [*dict.fromkeys(words)]
+    for i in range(0, len(own), CHUNK):
+        slots, grams, at = features(own[i:i + CHUNK], s)
+        some, size = np.flatnonzero(np.diff(at)), np.maximum(np.diff(at), 1)
+        spelled = np.zeros(len(slots))
+        if len(some):
+            spelled[some] = np.add.reduceat(odds[1][grams], at[some])
+        value.update(zip(own[i:i + CHUNK], np.maximum(odds[0][slots] + spelled / size, 0).tolist()))
+    sums = np.cumsum(np.r_[0, [value[w] for w in words]])
+    first = np.array(starts)
+    best = np.argsort(sums[first] - sums[first + s.window], kind="stable")[:s.bag]
+    return sorted(first[best].tolist())
+
+
+def fit(bags: list[tuple[int, list[list[bytes]]]], found: Evidence, base_rate: float, s: Settings = Settings()) -> Network:
     """Learn from ``(label, windows)`` of labelled texts; each window is a list of words.
 
-    ``base_rate`` is the share of toxic texts among all labelled ones, of which these may be a sample.
+    ``found`` is the evidence of these texts as a whole. ``base_rate`` is the share of toxic texts among all labelled ones, of which these may be a sample.
     In the first epoch every window of a text carries its label; later a toxic text teaches with
     its most toxic window, a clean one with that and any others.
     """
@@ -298,12 +341,8 @@ def fit(bags: list[tuple[int, list[list[bytes]]]], base_rate: float, s: Settings
     if len({y for y, _ in bags}) < 2:
         return Network(s, base_rate)
     data = Sample(bags, s)
-    owner = np.repeat(np.arange(len(data.slots)), np.diff(data.at))
-    word_texts = data.texts_with(data.slots, np.arange(len(data.slots)), s.word_slots)
-    gram_texts = data.texts_with(data.grams, owner, s.gram_slots)
-    net.weights["word_odds"], net.weights["gram_odds"] = data.odds(word_texts, s.shrink), data.odds(gram_texts, s.shrink)
-    own = np.eye(2)[:, :, None]  # a text of each label, taken out of its own evidence
-    without = [(data.odds(word_texts - own[y], s.shrink), data.odds(gram_texts - own[y], s.shrink)) for y in (0, 1)]
+    net.weights["word_odds"], net.weights["gram_odds"] = found.odds(s.shrink)
+    without = [found.odds(s.shrink, y) for y in (0, 1)]
 
     def evidence(words: tuple, toxic_text: np.ndarray) -> tuple:
         slots, grams, at = words
@@ -459,7 +498,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Netwo
     """Fit on labelled rows that are not held out: at most ``max_rows`` of each class, by hash.
 
     Labels without a document, null labels and null ids are left out; of several labels of an
-    id the highest counts. The base rate is counted over all these rows, before the bound. With
+    id the highest counts, of several texts the first in byte order. The base rate is counted over all these rows, before the bound. With
     labels of one class only, every text gets that rate.
     """
     clean = documents(docs)
@@ -471,28 +510,24 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Netwo
     order = F.xxhash64(F.col("doc_id"), F.lit(s.seed))
     ids = [r for label in (0, 1) for r in
            there.where(F.col("toxic") == label).orderBy(order).limit(s.max_rows).collect()]
-    chosen = {r.doc_id: int(r.toxic) for r in ids}
+    chosen = docs.sparkSession.createDataFrame([(r.doc_id, int(r.toxic)) for r in ids], "doc_id long, label int")
+    sample = stage(clean.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")), "sample")
+    found = count_evidence(sample, s)
+    odds = [found.odds(s.shrink, y) for y in (0, 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids_, bags = [], []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-                if doc_id not in chosen:
-                    continue
+            bags = []
+            for label, text in zip(batch["label"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
                 words = split(text)
-                starts = window_starts(len(words), s.window, s.stride)
-                if len(starts) > s.bag:
-                    rng = np.random.default_rng(zlib.crc32(str(doc_id).encode()))
-                    starts = sorted(rng.choice(starts, s.bag, replace=False).tolist())
-                ids_.append(doc_id)
-                bags.append([b" ".join(words[i:i + s.window]).decode() for i in starts])
+                bags.append([b" ".join(words[i:i + s.window]).decode() for i in teaching_windows(words, odds[label], s)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids_, pa.int64()), pa.array(bags, pa.list_(pa.string()))], ["doc_id", "windows"]
+                [batch["doc_id"], batch["label"], pa.array(bags, pa.list_(pa.string()))], ["doc_id", "label", "windows"]
             )
 
-    rows = clean.mapInArrow(run, "doc_id long, windows array<string>").dropDuplicates(["doc_id"]).collect()
-    windows = sorted((r.doc_id, r.windows) for r in rows)
-    return fit([(chosen[i], [w.encode().split() for w in ws]) for i, ws in windows], base_rate, s)
+    rows = sample.mapInArrow(run, "doc_id long, label int, windows array<string>").collect()
+    bags = [(r.label, [w.encode().split() for w in r.windows]) for r in sorted(rows, key=lambda r: r.doc_id)]
+    return fit(bags, found, base_rate, s)
 
 
 def held_out(doc_id: Column) -> Column:

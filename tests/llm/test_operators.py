@@ -485,6 +485,29 @@ def test_windows_cover_texts():
         assert {i for s in starts for i in range(s, min(s + 64, n))} == set(range(n))
 
 
+def test_evidence_counts_whole_texts(spark):
+    """Against plain sets, long texts included; and a text's toxic words teach wherever they lie."""
+    s = toxicity.Settings()
+    texts = [(n % 2, " ".join(f"w{(n * 7 + k) % 97}" for k in range(3 + 40 * n)) + (" venom" * 3 if n % 2 else "")) for n in range(20)]
+    texts += [(0, ""), (1, " ")]
+    found = toxicity.count_evidence(spark.createDataFrame(texts, "label int, text string"), s)
+    words, grams = np.zeros((2, s.word_slots), int), np.zeros((2, s.gram_slots), int)
+    for label, text in texts:
+        if text.strip():
+            slots, own, _ = toxicity.features(toxicity.split(text.encode()), s)
+            for k in set(slots.tolist()):
+                words[label, k] += 1
+            for k in set(own.tolist()):
+                grams[label, k] += 1
+    assert found.texts.tolist() == [10, 10] and (found.words == words).all() and (found.grams == grams).all()
+    for at in (0, 700, 1499, 2990):
+        text = [b"w%d" % (k % 97) for k in range(3000)]
+        text[at] = b"venom"
+        starts = toxicity.teaching_windows(text, found.odds(s.shrink, 1), s)
+        assert len(starts) == s.bag and any(i <= at < i + s.window for i in starts)
+    assert toxicity.teaching_windows(text[:64], found.odds(s.shrink, 1), s) == [0]
+
+
 @pytest.fixture(scope="module")
 def network(spark):
     return toxicity.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"),
