@@ -1,8 +1,9 @@
 """Benchmark passages in documents, found through a positional inverted index.
 
 The index is cut into shards of documents, so that all postings a phrase needs lie in one row
-of a staged table, and no term, however frequent, meets in one task. Benchmark windows are
-asked in blocks of bounded size.
+of a staged table, and no term, however frequent, meets in one task. Benchmark windows are a
+table as well: a join on the term that is rarest in the corpus brings each different window to
+the shards that may hold it, where it is asked in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -16,13 +17,15 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import documents, free_name, stage, text_hash
+from .common import documents, free_name, join_classes, stage, text_hash
 
 _KEEP = {*range(48, 58), *range(97, 123), *range(128, 256)}
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b in _KEEP else 32 for b in range(256))
 SLOTS = 1 << 22
-SHARD = """shard long, doc_ids array<long>, n_words array<int>, terms binary, counts binary, postings binary"""
+SHARD = "shard long, doc_ids array<long>, n_words array<int>, terms array<long>, counts array<int>, postings binary"
+FOUND = "shard long, ord int, window long, start long, end long, kind string"
 CACHE_WORDS = 300_000
+BATCH_WINDOWS = 10_000
 CANDIDATES = 2_000_000  # starts that are held at a time
 
 
@@ -36,35 +39,43 @@ def term(word: bytes) -> int:
 
 
 def test_terms(benchmark: DataFrame) -> bytes:
-    """A bit for each hashed term of the benchmark: of fixed size, however large that is."""
+    """A bit for each hashed term of the benchmark: of fixed size, however large that is.
+
+    Tasks send whole words of their bitmaps, which Spark combines: at most ``SLOTS / 64`` rows.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(SLOTS, bool)
         for batch in batches:
-            found = {term(w) % SLOTS for t in batch["text"].cast(pa.binary()).to_pylist() for w in words(t)}
-            yield pa.RecordBatch.from_pydict({"slot": pa.array(sorted(found), pa.int32())})
+            for text in batch["text"].cast(pa.binary()).to_pylist():
+                bits[[term(w) % SLOTS for w in words(text)]] = True
+        parts = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(parts)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "bits": pa.array(parts[at])})
 
-    bits = np.zeros(SLOTS, bool)
-    bits[[r.slot for r in benchmark.mapInArrow(run, "slot int").distinct().toLocalIterator()]] = True
-    return np.packbits(bits).tobytes()
+    found = benchmark.mapInArrow(run, "at int, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    parts = np.zeros(SLOTS // 64, np.int64)
+    parts[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return parts.tobytes()
 
 
 def _shard_row(number: int, ids: list, terms: list[np.ndarray]) -> dict:
     """Postings of one shard. Each document starts one place after the end of the one before."""
-    gap = np.zeros(1, np.uint64)
+    gap = np.zeros(1, np.int64)
     flat = np.concatenate([x for t in terms for x in (t, gap)])
     at = np.flatnonzero(flat)
     order = np.argsort(flat[at], kind="stable")
     places, sorted_terms = at[order].astype("<u4"), flat[at][order]
     own, first, counts = np.unique(sorted_terms, return_index=True, return_counts=True)
     steps = np.diff(places, prepend=np.uint32(0)).astype("<u4")  # wraps at a new term, undone by the sum
-    return {"shard": number, "doc_ids": ids, "n_words": [len(t) for t in terms], "terms": own.astype("<u8").tobytes(),
-            "counts": counts.astype("<u4").tobytes(), "postings": steps.tobytes()}
+    return {"shard": number, "doc_ids": ids, "n_words": [len(t) for t in terms], "terms": own, "counts": counts,
+            "postings": steps.tobytes()}
 
 
 def build_index(docs: DataFrame, bits: bytes, shard_words: int = 2_000_000) -> DataFrame:
     """The staged index: positions of every term whose bit is set, for every document."""
     schema = pa.schema([
         ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())),
-        ("terms", pa.binary()), ("counts", pa.binary()), ("postings", pa.binary()),
+        ("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("postings", pa.binary()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +95,7 @@ def build_index(docs: DataFrame, bits: bytes, shard_words: int = 2_000_000) -> D
                         cache[w] = t if wanted[t % SLOTS] else 0
                     found = [*map(cache.__getitem__, own)]
                 ids.append(doc_id)
-                terms.append(np.array(found, np.uint64))
+                terms.append(np.array(found, np.uint64).view(np.int64))
                 held += len(own) + 1
                 if held >= shard_words:
                     yield pa.RecordBatch.from_pylist([_shard_row(number, ids, terms)], schema)
@@ -98,13 +109,16 @@ def build_index(docs: DataFrame, bits: bytes, shard_words: int = 2_000_000) -> D
 class Postings:
     """One shard's index, ready for intersections."""
 
-    def __init__(self, row: dict):
-        self.terms = np.frombuffer(row["terms"], "<u8")
-        self.counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
-        self.places = np.cumsum(np.frombuffer(row["postings"], "<u4"), dtype=np.uint32).astype(np.int64)
+    def __init__(self, shard: pa.Table):
+        n_words, terms, counts, postings = (
+            shard[c].combine_chunks()[0] for c in ("n_words", "terms", "counts", "postings")
+        )
+        self.terms = terms.values.to_numpy()
+        self.counts = counts.values.to_numpy().astype(np.int64)
+        self.places = np.cumsum(np.frombuffer(postings.as_buffer(), "<u4"), dtype=np.uint32).astype(np.int64)
         self.first = np.cumsum(np.r_[0, self.counts])
         self.key = (np.repeat(np.arange(len(self.terms)), self.counts) << 36) + self.places
-        lengths = np.array(row["n_words"], np.int64)
+        lengths = n_words.values.to_numpy().astype(np.int64)
         self.base = np.cumsum(np.r_[0, lengths + 1])
 
     def lookup(self, terms: np.ndarray) -> np.ndarray:
@@ -171,78 +185,115 @@ def _search(index: Postings, windows: np.ndarray, lengths: np.ndarray, slop: int
     return out
 
 
-def _windows(items: list[tuple], size: int) -> tuple[list, np.ndarray, np.ndarray]:
-    owners, rows, lengths = [], [], []
-    for item_id, text in items:
-        own = [term(w) for w in words(text)]
-        for i in range(max(1, len(own) - size + 1) if own else 0):
-            part = own[i:i + size]
-            owners.append(item_id)
-            lengths.append(len(part))
-            rows.append(part + [0] * (size - len(part)))
-    return owners, np.array(rows, np.uint64).reshape(-1, size), np.array(lengths, np.int64)
+def test_windows(benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """``window, terms`` of all different windows, staged, and ``window, item_id`` of those that have them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(batch["item_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
+                own = np.array([term(w) for w in words(text)], np.uint64).view(np.int64)
+                if not len(own):
+                    continue
+                rows = np.lib.stride_tricks.sliding_window_view(own, min(size, len(own)))
+                for i in range(0, len(rows), BATCH_WINDOWS):
+                    part = rows[i:i + BATCH_WINDOWS]
+                    ends = np.arange(len(part) + 1, dtype=np.int32) * part.shape[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item_id] * len(part), pa.int64()), pa.ListArray.from_arrays(ends, part.ravel())],
+                        ["item_id", "terms"],
+                    )
+
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = stage(items.mapInArrow(run, "item_id long, terms array<long>").distinct(), "item_windows")
+    windows = stage(rows.select("terms").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
+    return windows, rows.join(windows, "terms").select("window", "item_id")
+
 
+def _asked(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """``shard, window, terms``: a window meets the shards that have its rarest term.
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple]]:
-    held, size = [], 0
-    for row in benchmark.toLocalIterator():
-        text = row.text.encode()
-        held.append((row.item_id, text))
-        size += len(text) // 4
-        if size >= block_words:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    Windows with a term that no document has are in none.
+    """
+    postings = index.select("shard", F.explode(F.arrays_zip("terms", "counts")).alias("p")) \
+        .select("shard", F.col("p.terms").alias("term"), F.col("p.counts").alias("n"))
+    parts = windows.select("window", F.explode(F.array_distinct("terms")).alias("term"))
+    classes = parts.groupBy("term").agg(F.count("*").alias("n_windows")).join(
+        postings.groupBy("term").agg(F.sum("n").alias("n")), "term")
+    known = join_classes(parts, stage(classes, "terms"), "term", F.col("n_windows"))
+    rarest = known.groupBy("window").agg(
+        F.min_by("term", F.struct("n", "term")).alias("term"), F.every(F.col("n").isNotNull()).alias("whole")
+    ).where("whole").join(windows, "window")
+    return stage(postings.select("shard", "term").join(rarest, "term").select("shard", "window", "terms"), "asked")
+
+
+def occurrences(index: DataFrame, windows: DataFrame, size: int = 10, slop: int | None = None,
+                block_words: int = 2_000_000) -> DataFrame:
+    """``shard, ord, window, start, end, kind``: where the windows of ``test_windows`` occur.
+
+    A shard is asked for windows of ``block_words`` words at a time; overlapping places of a
+    window in a document are one row. See ``matches`` for ``kind`` and ``slop``.
+    """
+    schema = pa.schema([("shard", pa.int64()), ("ord", pa.int32()), ("window", pa.int64()), ("start", pa.int64()),
+                        ("end", pa.int64()), ("kind", pa.string())])
+
+    def search(shard: pa.Table, asked: pa.Table) -> pa.Table:
+        if not len(shard) or not len(asked):
+            return schema.empty_table()
+        postings, own = Postings(shard), asked["terms"].combine_chunks()
+        lengths = own.value_lengths().to_numpy().astype(np.int64)
+        padded = np.zeros((len(own), size), np.int64)
+        padded[np.arange(size) < lengths[:, None]] = own.flatten().to_numpy()
+        names = asked["window"].to_numpy()
+        spans: dict[tuple, list] = {}
+        rows = set()
+        for which, start, exact in _search(postings, padded, lengths, slop):
+            doc = np.searchsorted(postings.base, start, "right") - 1
+            place = start - postings.base[doc]
+            for w, d, s, n, e in zip(names[which].tolist(), doc.tolist(), place.tolist(),
+                                     lengths[which].tolist(), exact.tolist()):
+                if e:
+                    spans.setdefault((d, w), []).append((s, s + n))
+                else:
+                    rows.add((d, w, s, s + 1, "near"))
+        for (d, w), own_spans in spans.items():
+            own_spans.sort()
+            low, high = own_spans[0]
+            for s, e in own_spans[1:]:
+                if s > high:
+                    rows.add((d, w, low, high, "phrase"))
+                    low = s
+                high = max(high, e)
+            rows.add((d, w, low, high, "phrase"))
+        number = shard["shard"][0].as_py()
+        flat = [(number, *r) for r in sorted(rows)]
+        return pa.table([pa.array([r[i] for r in flat], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    asked, per_block = _asked(index, windows), max(1, block_words // size)
+    blocks = asked.groupBy("shard").agg(F.ceil(F.count("*") / per_block).alias("n"))
+    left = index.select("shard", "n_words", "terms", "counts", "postings").join(
+        blocks.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("block")), "shard")
+    right = asked.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("window"), "n"))
+    return left.groupBy("shard", "block").cogroup(
+        right.select("shard", "block", "window", "terms").groupBy("shard", "block")).applyInArrow(search, FOUND)
 
 
 def matches(index: DataFrame, benchmark: DataFrame, size: int = 10, slop: int | None = None,
-            block_words: int = 200_000) -> DataFrame:
+            block_words: int = 2_000_000) -> DataFrame:
     """``shard, ord, item_id, start, end, kind``: where windows of ``size`` words occur.
 
     ``kind`` is ``phrase`` for windows that occur word by word; overlapping ones of an item are
     one row. With ``slop`` there are also ``near`` rows: places of a window's rarest term with
     every other term of it no more than ``size - 1 + slop`` words away.
     """
-    schema = pa.schema([("shard", pa.int64()), ("ord", pa.int32()), ("item_id", pa.int64()), ("start", pa.int64()),
-                        ("end", pa.int64()), ("kind", pa.string())])
-    items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    found = None
-    for block in _blocks(items, block_words):
-        owners, windows, lengths = _windows(block, size)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    index_, rows = Postings(row), set()
-                    spans: dict[tuple, list] = {}
-                    for which, start, exact in _search(index_, windows, lengths, slop):
-                        doc = np.searchsorted(index_.base, start, "right") - 1
-                        own = start - index_.base[doc]
-                        for w, d, s, e in zip(which.tolist(), doc.tolist(), own.tolist(), exact.tolist()):
-                            if e:
-                                spans.setdefault((d, owners[w]), []).append((s, s + int(lengths[w])))
-                            else:
-                                rows.add((d, owners[w], s, s + 1, "near"))
-                    for (d, item), own_spans in spans.items():
-                        own_spans.sort()
-                        low, high = own_spans[0]
-                        for s, e in own_spans[1:]:
-                            if s > high:
-                                rows.add((d, item, low, high, "phrase"))
-                                low = s
-                            high = max(high, e)
-                        rows.add((d, item, low, high, "phrase"))
-                    flat = [(row["shard"], *r) for r in sorted(rows, key=repr)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[i] for r in flat], f.type) for i, f in enumerate(schema)], schema=schema
-                    )
-
-        part = index.mapInArrow(run, "shard long, ord int, item_id long, start long, end long, kind string")
-        found = part if found is None else found.unionByName(part)
-    empty = "cast(null AS long) shard, cast(null AS int) ord, cast(null AS long) item_id, " \
-            "cast(null AS long) start, cast(null AS long) end, cast(null AS string) kind"
-    return found if found is not None else index.sparkSession.sql(f"SELECT {empty} WHERE false")
+    windows, owners = test_windows(benchmark, size)
+    found = occurrences(index, windows, size, slop, block_words).join(owners, "window")
+    of_item = Window.partitionBy("shard", "ord", "item_id", "kind").orderBy("start", "end")
+    before = F.max("end").over(of_item.rowsBetween(Window.unboundedPreceding, -1))
+    # Places that are near are one word each and stay apart; phrases that touch are one.
+    first = before.isNull() | (F.col("start") > before) | ((F.col("kind") == "near") & (F.col("start") >= before))
+    marked = found.withColumn("first", first.cast("int"))
+    return marked.withColumn("span", F.sum("first").over(of_item)) \
+        .groupBy("shard", "ord", "item_id", "kind", "span").agg(F.min("start").alias("start"), F.max("end").alias("end")) \
+        .select("shard", "ord", "item_id", "start", "end", "kind")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
@@ -256,12 +307,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     index = build_index(docs, test_terms(items))
-    found = stage(matches(index, items, size), "matches")
+    windows, owners = test_windows(items, size)
+    found = stage(occurrences(index, windows, size), "occurrences")
     ahead = Window.partitionBy("shard", "ord").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.col("start"), F.coalesce(F.max("end").over(ahead), F.lit(0)))
     hits = found.select("shard", "ord", F.greatest(F.col("end") - fresh, F.lit(0)).alias("more")) \
         .groupBy("shard", "ord").agg(F.sum("more").alias("n_hit"))
-    named = found.where("item_id IS NOT NULL").groupBy("shard", "ord").agg(
+    named = found.select("shard", "ord", "window").distinct().join(owners, "window").where("item_id IS NOT NULL").groupBy("shard", "ord").agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
     )
     all_docs = index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ord", "d")) \
