@@ -1,8 +1,10 @@
 """Extraction from invented shop pages that cover each markup rule and linked-data shape."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.functions import html
 from shelfline.functions.selectors import attr, cls, tag
 from shelfline.operators import detail, discover, listing
 from shelfline.plans.refresh import ShopRules, detail_rows, listed_products
@@ -162,3 +164,17 @@ def test_listing_walk_stops_at_gap_and_end(spark):
     names = lambda rows: sorted(r["name"] for r in rows.select("name").collect())
     assert names(listed_products(df, targets, rules)) == ["a1", "a2", "a3", "b1", "d1"]
     assert names(listed_products(df, targets, rules, max_pages=1)) == ["a1", "a2", "b1", "d1"]
+
+
+def test_documents_leave_the_worker_a_few_pages_at_a_time(spark, monkeypatch):
+    small, large = "<p class='x'>a</p>", "<p class='x'>" + "b" * html.PIECE_BYTES + "</p>"
+    markup = pa.array([small] * 300 + [large, None, ""] + [large] * 2)
+    pieces = list(html._pieces(markup))
+    assert [at for at, _ in pieces] == [0, *[at + n for at, n in pieces[:-1]]] and sum(n for _, n in pieces) == len(markup)
+    assert all(n <= html.PIECE_PAGES for _, n in pieces) and pieces[-1] == (304, 1)
+    monkeypatch.setattr(html, "PIECE_PAGES", 2)
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate([TOOLS, None, "", KETTLE, LINKED])], "page_id long, html string")
+    parsed = html.parse_pages(rows.coalesce(1))
+    assert "MapInArrow" in parsed._jdf.queryExecution().toString()
+    whole = rows.select("page_id", html.parse_page(F.col("html")).alias("doc"))
+    assert sorted(parsed.collect()) == sorted(whole.collect())
