@@ -1,6 +1,7 @@
 """Bulk merges against a row-by-row model of the same rules, on random batches."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -107,6 +108,21 @@ def test_products_like_single_upserts(spark, seed, sparse):
     assert {r.slug: r["name"] for r in out.brands.table.collect()} == {k: v["name"] for k, v in brands.items()}
 
 
+def test_products_are_dealt_out_by_slug_alone(spark):
+    batch = random_batch(random.Random(3), 20)
+    rows = spark.createDataFrame([tuple(r[c.split()[0]] for c in BATCH.split(",")) for r in batch], BATCH)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = merge.merge_products(spark.createDataFrame([], PRODUCT), spark.createDataFrame([], CATEGORY),
+                                   spark.createDataFrame([], BRAND), rows, F.lit(NOW))
+        plan = out.products.rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Neither by the few names of categories and brands, nor once more after the batch is collapsed.
+    assert re.findall(r"hashpartitioning\((\w+?)#", plan) == ["slug", "slug"]
+
+
 def test_dimension_policy_and_parents(spark):
     cats = spark.createDataFrame([("Root", "root", "/r", None, "d", OLD, OLD)], CATEGORY)
     feed = spark.createDataFrame([
