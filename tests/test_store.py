@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from shelfline.plans import refresh
 from shelfline.sources.catalog import CatalogStore, Snapshot, bucket_of
-from shelfline.sources.pages import landed_after, stream_pages
+from shelfline.sources.pages import landed_after, newest_pages, stream_pages
 from shelfline.streaming.ingest import ingest_shop, merge_batch, shop_batch, shop_store
 from shelfline.workload import tables as t
 
@@ -106,3 +106,26 @@ def test_stream_of_all_kinds_of_pages(spark, tmp_path):
     shop_batch(store, rules, "s", lambda: DAY[9])(spark.createDataFrame([(1, "https://s/p/a", LD % ("No", 0), DAY[9])], TIMED), 0)
     assert version in {r.version for r in store._markers().select("version").distinct().collect()}
     assert {r.slug: r.price for r in store.current().products.collect()}["a"] == 4.0
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 13])
+def test_addresses_share_a_state(spark, tmp_path, buckets):
+    land, out, schema = str(tmp_path / "land"), [], "page_id long, url string, html string, landed_at timestamp"
+
+    def run(*rows):
+        pages = [(i, url, f"{url}{i}", datetime(2024, 1, day)) for i, url, day in rows]
+        spark.createDataFrame(pages, schema).coalesce(1).write.mode("append").parquet(land)
+        out.clear()
+        query = newest_pages(stream_pages(spark, land, timed=True), "3 days", buckets).writeStream.foreachBatch(
+            lambda df, _: out.extend((r.page_id, r.url, r.html) for r in df.collect())).option(
+            "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sorted(out), query.recentProgress
+
+    got, progress = run((1, "a", 5), (2, "a", 6), (3, "a", 4), (4, "b", 5), (6, "c", 5), (5, "c", 5))
+    assert got == [(2, "a", "a2"), (4, "b", "b4"), (6, "c", "c6")]
+    states = max(p.stateOperators[0].numRowsTotal for p in progress)
+    assert states == 1 if buckets == 1 else states <= 3
+    assert run((7, "a", 5), (4, "b", 5), (8, "b", 5), (9, "d", 20))[0] == [(8, "b", "b8"), (9, "d", "d9")]
+    # Day 16 lies before the watermark; a has been forgotten, but what lands now is new anyway.
+    assert run((10, "a", 16), (11, "a", 18), (12, "d", 19))[0] == [(11, "a", "a11")]
