@@ -115,6 +115,14 @@ def test_unescape_agrees_with_python(spark):
     assert wrong == []
 
 
+def test_slug_is_worked_out_once(spark):
+    df = spark.createDataFrame([(w + f"Ấ{w} -{w}b-" + w * 2 + "c!",) for w in text.WHITESPACE] + [("-!-",)], "t string")
+    out = df.select(text.normalize_slug(F.col("t")).alias("s"))
+    assert {r.s for r in out.collect()} == {"a-b-c", "unknown"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1 and plan.count("regexp_replace(") == 2
+
+
 def test_slug_agrees_with_python(spark):
     rng = random.Random(8)
     alphabet = text.FOLD_FROM + "abcXYZ012 _-/!?.,\t ßéñ中ÇØ²"
