@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.functions.joins import join_unique
-from shelfline.operators import merge
-from shelfline.schemas import BRAND, CATEGORY, PRODUCT, PRODUCT_DEFAULTS
+from shelfline.operators import identity, merge
+from shelfline.plans import refresh
+from shelfline.schemas import BRAND, CATEGORY, NORMALIZED_PRODUCT, PRODUCT, PRODUCT_DEFAULTS, TABLES
+from shelfline.session import stage
+from shelfline.sources.catalog import Snapshot
 
 OLD, NOW = datetime(2020, 1, 1), datetime(2024, 1, 1)
 TEXTS = ("description", "sku", "availability", "image_url", "ingredients", "usage_instructions")
@@ -206,6 +209,32 @@ def test_one_slug_with_a_third_of_the_rows(spark):
     assert joined.count() == 30_000 and joined.where("first > pos").count() == 0
 
 
+@pytest.mark.parametrize("few", [100_000, 1, 0])
+def test_rows_that_keep_their_slug_stay_where_they_are(spark, monkeypatch, few):
+    monkeypatch.setattr(identity, "FEW_MOVES", few)
+    current = spark.createDataFrame([("a", "/a"), ("b", "/b")], "slug string, url string")
+    kept = [(1, "a", "/a"), (2, "a", "/a2"), (3, "new", "/new"), (4, None, "/a"), (5, "b", None)]
+    schema = "pos int, slug string, url string"
+    clear, failed = merge.resolve_identity(current, spark.createDataFrame(kept, schema), staged=True)
+    assert sorted(map(tuple, clear.collect())) == kept and failed.isEmpty()
+    assert "Join" not in clear._jdf.queryExecution().optimizedPlan().toString()
+    moved = kept + [(6, "b2", "/b"), (7, "b3", "/b")]
+    clear, failed = merge.resolve_identity(current, spark.createDataFrame(moved, schema), staged=True)
+    assert sorted(map(tuple, clear.collect())) == kept + [(6, "b", "/b"), (7, "b", "/b")] and failed.isEmpty()
+
+
+def test_the_batch_is_written_once(spark, monkeypatch):
+    wide = []
+    monkeypatch.setattr(refresh, "stage", lambda df: wide.append(df) or stage(df))
+    empty = Snapshot(*[spark.createDataFrame([], t) for t in TABLES.values()])
+    raw = spark.createDataFrame([(1, "A", "a", "/a", "C"), (2, "", "b", "/b", "C"), (3, "A2", "a", "/a", "")],
+                                "pos int, name string, slug string, url string, category_name string")
+    out, bad = refresh.process_batch(empty, empty.categories, raw, F.lit(NOW))
+    assert [(r.slug, r["name"]) for r in out.products.rows.collect()] == [("a", "A2")]
+    assert [(r.pos, r.reason) for r in bad.collect()] == [(2, "Missing required field: name")]
+    assert len(wide) == 1 and out.batch.columns == ["pos", *NORMALIZED_PRODUCT]
+
+
 def test_an_address_that_two_stored_rows_have(spark):
     current = spark.createDataFrame([("a", "/u"), ("b", "/u")], "slug string, url string")
     rows = spark.createDataFrame([(1, "n", "/u"), (2, "a", "/u"), (3, "b", "/u"), (4, "b", "/v"), (5, "m", "/u")],
