@@ -244,3 +244,25 @@ def test_an_address_that_two_stored_rows_have(spark):
     assert [(r.pos, r.reason) for r in failed.collect()] == [(3, "url_conflict")]
     assert sorted((r.pos, r.match_slug) for r in merge.match_slug_or_url(current, rows).collect()) == [
         (1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "a")]
+
+
+def test_a_null_never_hides_an_earlier_value(spark):
+    """Whatever column it is in: the latest value that is not NULL counts, as in single writes."""
+    rng = random.Random(5)
+    batch = random_batch(rng, 60)
+    for row in batch:
+        for c in ("name", "url", "review_count", "images", *TEXTS, *FLAGS):
+            if rng.random() < 0.4:
+                row[c] = None
+    products = {s: stored_product(s) for s in ("p0", "p1", "hot")}
+    frame = lambda rows, schema: spark.createDataFrame([tuple(r[f.name] for f in schema) for r in rows], schema)
+    current = frame([{**v, "slug": k} for k, v in products.items()], PRODUCT)
+    cats = frame([{"name": "Cat B", "slug": "cat-b", "url": "/c", "parent_slug": None, "description": "",
+                   "created_at": OLD, "updated_at": OLD}], CATEGORY)
+    rows = spark.createDataFrame([tuple(r[c.split()[0]] for c in BATCH.split(",")) for r in batch], BATCH)
+    out = merge.merge_products(current, cats, spark.createDataFrame([], BRAND), rows.repartition(5), F.lit(NOW))
+    upsert_one_by_one(products, {"cat-b": {"name": "Cat B"}}, {}, batch)
+    defaults = {**PRODUCT_DEFAULTS, "images": []}
+    want = {s: {k: defaults.get(k) if v is None else v for k, v in row.items()} for s, row in products.items()}
+    got = {r.slug: {k: v for k, v in r.asDict().items() if k not in ("slug", "change")} for r in out.products.rows.collect()}
+    assert got == want
