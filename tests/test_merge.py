@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline import session
 from shelfline.functions.joins import join_unique
 from shelfline.operators import identity, merge
 from shelfline.plans import refresh
@@ -266,3 +267,35 @@ def test_a_null_never_hides_an_earlier_value(spark):
     want = {s: {k: defaults.get(k) if v is None else v for k, v in row.items()} for s, row in products.items()}
     got = {r.slug: {k: v for k, v in r.asDict().items() if k not in ("slug", "change")} for r in out.products.rows.collect()}
     assert got == want
+
+
+def test_wide_rows_laid_out_by_slug_are_not_shuffled(spark, monkeypatch):
+    """Neither the batch nor a current table that lies by slug goes through an exchange; the outcome is that of single writes."""
+    batch = random_batch(random.Random(7), 400)  # a third of it is one slug
+    products = {s: stored_product(s) for s in ("p0", "p1", "far")}
+    frame = lambda rows, schema: spark.createDataFrame([tuple(r[f.name] for f in schema) for r in rows], schema)
+    current = frame([{**v, "slug": k} for k, v in products.items()], PRODUCT)
+    cats = frame([{"name": "Cat B", "slug": "cat-b", "url": "/c", "parent_slug": None, "description": "",
+                   "created_at": OLD, "updated_at": OLD}], CATEGORY)
+    brands = spark.createDataFrame([], BRAND)
+    rows = spark.createDataFrame([tuple(r[c.split()[0]] for c in BATCH.split(",")) for r in batch], BATCH)
+    stats = upsert_one_by_one(products, {"cat-b": {"name": "Cat B"}}, {}, batch)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for few in (20, 0):  # with hot slugs, and as if no slug were hot
+            monkeypatch.setattr(session, "FEW_ROWS", few)
+            laid, stored = session.lay_out(rows, "slug"), session.lay_out(current, "slug").rows
+            if few:
+                assert "hot" in [r.slug for r in laid.hot.collect()]
+            else:
+                laid.__dict__["hot"] = None
+            out = merge.merge_products(stored, cats, brands, laid, F.lit(NOW))
+            plan = out.products.rows._jdf.queryExecution().executedPlan().toString()
+            got = {r.slug: {k: v for k, v in r.asDict().items() if k not in ("slug", "change")}
+                   for r in out.products.rows.collect()}
+            assert got == products
+            assert out.stats().first().asDict() == stats and out.rejects.count() == stats["errors"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning" not in plan
