@@ -299,3 +299,30 @@ def test_wide_rows_laid_out_by_slug_are_not_shuffled(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "hashpartitioning" not in plan
+
+
+def test_identity_of_a_batch_laid_out_by_slug_and_address(spark, monkeypatch):
+    """The same outcome, and the batch itself meets what is found without an exchange."""
+    monkeypatch.setattr(session, "FEW_ROWS", 0)
+    monkeypatch.setattr(identity, "FEW_MOVES", 0)
+    rng = random.Random(11)
+    stored = [(f"s{i}", f"/u{i}") for i in range(6)]
+    batch = [(i, f"s{rng.randint(0, 9)}", f"/u{rng.randint(0, 9)}", rng.choice(["", "C"])) for i in range(60)]
+    batch += [(100 + i, f"x{i}", f"/x{i % 3}", "C") for i in range(9)]  # settled by joins: one address each
+    current = spark.createDataFrame(stored, "slug string, url string")
+    rows = spark.createDataFrame(batch, "pos int, slug string, url string, category_name string")
+    laid = session.lay_out(rows, "slug", "url")
+    laid.__dict__["hot"] = None
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        both = [merge.resolve_identity(current, x) for x in (rows, laid)]
+        told = both[1][0].where("pos >= 100")
+        plan = told._jdf.queryExecution().optimizedPlan().toString()
+        (was, lost), (now, gone) = [[sorted(map(tuple, f.collect())) for f in x] for x in both]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert (now, gone) == (was, lost) and len(now) + len(gone) == len(batch)
+    assert "laid_" in plan
+    with pytest.raises(ValueError):
+        merge.resolve_identity(current, session.lay_out(rows, "slug"))
