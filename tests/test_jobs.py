@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from shelfline import session
 from shelfline.operators import export, hierarchy, lookup, runlog
 from shelfline.plans import refresh
 from shelfline.schemas import CATEGORY, PAGE, TABLES
@@ -188,3 +189,17 @@ def test_retention(spark):
 def test_schema_text(spark):
     ddl = [r.line for r in export.schema_lines(spark).collect()]
     assert len(ddl) == len(TABLES) and "name VARCHAR(200) NOT NULL," in ddl[0]
+
+
+def test_pages_of_listings_are_not_read_as_products(spark):
+    """Unless a listing names them; a page that only looks like one of a listing stays."""
+    base = "https://s.example"
+    pages = spark.createDataFrame([(i, base + u, "") for i, u in enumerate(
+        ["/c/a", "/c/a?page=2", "/c/a?page=x", "/c/b", "/c/b?page=2", "/p/1", "/p/1?page=2", "/c/other"])], PAGE)
+    targets = spark.createDataFrame([(f"{base}/c/a",), (f"{base}/c/b",)], "listing_url string")
+    listed = spark.createDataFrame([(f"{base}/p/1",), (f"{base}/c/b?page=2",)], "url string")
+    kept = refresh.pages_listed(pages, targets, listed)
+    assert sorted(r.url.removeprefix(base) for r in kept.collect()) == [
+        "/c/a?page=x", "/c/b?page=2", "/c/other", "/p/1", "/p/1?page=2"]
+    dealt = session.deal(kept.coalesce(1), "url")
+    assert dealt.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism and dealt.count() == 5
