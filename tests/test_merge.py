@@ -326,3 +326,20 @@ def test_identity_of_a_batch_laid_out_by_slug_and_address(spark, monkeypatch):
     assert "laid_" in plan
     with pytest.raises(ValueError):
         merge.resolve_identity(current, session.lay_out(rows, "slug"))
+
+
+def test_components_of_any_shape_take_few_rounds(spark, monkeypatch):
+    """A path in order of its names, a star, a loop and a pair: one root for each."""
+    mix = lambda n: (n * 0x9E3779B97F4A7C15 + 12345) % (1 << 63)
+    path = [(mix(i), mix(i + 1)) for i in range(200)]
+    star = [(mix(1000), mix(1001 + i)) for i in range(50)]
+    edges = path + star + [(mix(2000), mix(2000)), (mix(3000), mix(3001)), (mix(3001), mix(3000))]
+    written = []
+    monkeypatch.setattr(identity, "stage", lambda df: written.append(df) or stage(df))
+    found = identity.components(spark.createDataFrame(edges, "a long, b long").repartition(3))
+    roots = {r.node: r.root for r in found.collect()}
+    assert set(roots) == {n for e in edges for n in e}
+    assert all(roots[a] == roots[b] for a, b in edges) and len(set(roots.values())) == 4
+    assert len(written) <= 2 * 12 + 1  # two tables a round
+    alone = identity.components(spark.createDataFrame([(5, 5)], "a long, b long"))
+    assert [tuple(r) for r in alone.collect()] == [(5, 5)]
