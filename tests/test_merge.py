@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from shelfline import session
 from shelfline.functions.joins import join_unique
 from shelfline.operators import identity, merge
@@ -14,6 +15,7 @@ from shelfline.plans import refresh
 from shelfline.schemas import BRAND, CATEGORY, NORMALIZED_PRODUCT, PRODUCT, PRODUCT_DEFAULTS, TABLES
 from shelfline.session import stage
 from shelfline.sources.catalog import Snapshot
+from shelfline.workload import queries
 
 OLD, NOW = datetime(2020, 1, 1), datetime(2024, 1, 1)
 TEXTS = ("description", "sku", "availability", "image_url", "ingredients", "usage_instructions")
@@ -343,3 +345,10 @@ def test_components_of_any_shape_take_few_rounds(spark, monkeypatch):
     assert len(written) <= 2 * 12 + 1  # two tables a round
     alone = identity.components(spark.createDataFrame([(5, 5)], "a long, b long"))
     assert [tuple(r) for r in alone.collect()] == [(5, 5)]
+
+
+def test_the_second_run_uses_the_batch_of_the_first(spark, monkeypatch):
+    asked, feed = [], queries.t.change_batch
+    monkeypatch.setattr(queries.t, "change_batch", lambda *a: asked.append(a) or feed(*a))
+    out = queries.merge_idempotent(spark, SMALL)
+    assert len(asked) == 1 and out.where("change = 'created'").isEmpty() and not out.isEmpty()
